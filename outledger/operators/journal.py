@@ -123,11 +123,13 @@ def enrich(
     other_site: str,
     one_vat_line: bool = False,
     seller_tax_type: bool = False,
+    carried: tuple[str, ...] = (),
 ) -> DataFrame:
     """Add relation, invoice, source line, VAT line, account and cost-center facts.
 
-    `one_vat_line` and the first HEADER line keep one row per journal line; without it a line is
-    repeated for every VAT line of its invoice and relation, as in a plain join.
+    `one_vat_line` keeps one row per journal line: the first VAT line of its invoice and relation
+    and the first HEADER line. Without it a line is repeated for all of them, as in a plain join.
+    `carried` names further columns of `lines` to keep.
     """
     c = F.col
     origin = as_role(
@@ -144,11 +146,12 @@ def enrich(
     # The origin is looked up for REC lines only. The test is part of the join, so other lines
     # stay, without an origin.
     has_origin = (c("src_je_line_seq_id") == c("origin_je_line_seq_id")) & (c("je_type") == "REC")
+    # Relation facts are the widest side and come last, so the earlier shuffles move narrow rows.
     full = (
-        lines.join(cp, "billing_rel_id")
-        .join(invoice_facts(t, first_header=one_vat_line), "invoice_prefix_seq_id")
-        .join(origin, has_origin, "left")
+        lines.join(origin, has_origin, "left")
         .join(vat, ["invoice_prefix_seq_id", "billing_rel_id"], "left")
+        .join(invoice_facts(t, first_header=one_vat_line), "invoice_prefix_seq_id")
+        .join(cp, "billing_rel_id")
         .join(tp_flag(t["gl_account"]), c("gl_account") == c("acct_number"), "left")
         .join(
             product_line(t["cost_center"]),
@@ -237,6 +240,7 @@ def enrich(
         "sabrix_tax_type",
         "seller_vat_regime",
         "vat_line_seq_id",
+        *carried,
     )
 
 

@@ -90,17 +90,38 @@ def invoice_heads(t: Tables, cp: DataFrame, run: int | None) -> DataFrame:
     )
 
 
-def relation_heads(t: Tables, cp: DataFrame, lines: DataFrame, p: Params) -> DataFrame:
-    """The representative journal line of each receivable relation, with all its facts."""
-    picked = journal.representative_lines(lines, "REC", RELATION)
+# What records need of a line; the rest of the journal view is pruned before any join.
+LINE_FACTS = [
+    *RELATION, "file_country", "country_id", "country_code", "je_type", "je_line_seq_id",
+    "biller_run_date", "invoice_number", "invoice_amount", "original_curr", "invoice_billing_ref",
+    "invoice_header", "header_context", "ccl_ar_ibs", "b_buc", "s_buc", "adn", "invoice_contact",
+    "contract_number", "customer_site", "serv_desc", "sending_gl", "in_sending_gl",
+    "balancing_segment", "reference_id", "bill_rel_key", "je_line_type_cat", "expense_category",
+    "je_line_type_sub_sub_cat", "je_line_tax_type", "je_line_type_interco", "tp_percentage",
+    "vat_percentage", "bex_je_description", "seller_cost_center", "orig_gl_account",
+    "expense_account", "exception_account", "account_vat", "sabrix_tax_type",
+    "sbx_commodity_code", "tp_required", "partner_segment", "company_code", "project",
+    "cost_center", "product_line", "product_line_tp", "seller_vat_regime", "max_unit_price",
+]
+
+
+def line_heads(t: Tables, cp: DataFrame, heads: DataFrame, p: Params) -> DataFrame:
+    """Representative lines with all their facts: one REC line per relation, one AR line per invoice.
+
+    Both kinds are picked first and enriched together, so each table is joined once, to a few rows.
+    """
+    lines = journal.outbound_lines(t, p.run)
+    picked = journal.representative_lines(lines, "REC", RELATION).unionByName(
+        journal.representative_lines(lines, "AR", KEY, relations=cp)
+    )
     facts = journal.enrich(
-        picked, t, cp, p.pop_site, p.other_site, one_vat_line=True,
-        seller_tax_type=p.seller_tax_type,
+        picked.join(heads, KEY), t, cp, p.pop_site, p.other_site, one_vat_line=True,
+        seller_tax_type=p.seller_tax_type, carried=tuple(c for c in heads.columns if c not in KEY),
     )
     facts = branches.with_exception(
         facts, branches.account_exceptions(t["look_up"], t["je_line_type"])
     )
-    return branches.with_company(facts, t["company_code"])
+    return branches.with_company(facts, t["company_code"]).select(*LINE_FACTS)
 
 
 def invoice_amounts(t: Tables, heads: DataFrame, p: Params) -> DataFrame:
@@ -112,17 +133,15 @@ def invoice_amounts(t: Tables, heads: DataFrame, p: Params) -> DataFrame:
     return rollup.rate_rollup(lines)
 
 
-def build_charges(
-    t: Tables, relations: DataFrame, heads: DataFrame, amounts: DataFrame
-) -> DataFrame:
-    """Charges: relation facts, invoice facts and amounts per rate, with steps inside the relation.
+def build_charges(t: Tables, relations: DataFrame, amounts: DataFrame) -> DataFrame:
+    """Charges: facts of a relation and its amounts per rate, with steps inside the relation.
 
     `rate_start` counts the line numbers of the relation's earlier rates; `relation_steps` is the
     relation's total. Both use the partitioning by invoice and relation the join already needs.
     """
-    joined = amounts.join(relations, ["invoice_prefix_seq_id", "billing_rel_id"]).join(heads, KEY)
+    joined = amounts.join(relations, ["invoice_prefix_seq_id", "billing_rel_id"])
     priced = branches.with_account(joined, journal.tp_accounts(t["gl_account"]))
-    steps = priced.withColumn("steps", branches.line_steps())
+    steps = branches.with_line_steps(priced)
     whole = Window.partitionBy("invoice_prefix_seq_id", "billing_rel_id", "run_seq_id")
     earlier = whole.orderBy(F.col("rate_percentage").asc_nulls_last()).rowsBetween(
         Window.unboundedPreceding, -1
@@ -146,20 +165,14 @@ def number_charges(charges: DataFrame, large: int) -> DataFrame:
     )
 
 
-def rec_records(t: Tables, cp: DataFrame, lines: DataFrame, heads: DataFrame, p: Params) -> DataFrame:
+def rec_records(t: Tables, lines: DataFrame, p: Params) -> DataFrame:
     """One receivable record per invoice that has a receivable-total line."""
-    picked = journal.representative_lines(lines, "AR", KEY, relations=cp)
-    facts = journal.enrich(
-        picked, t, cp, p.pop_site, p.other_site, one_vat_line=True,
-        seller_tax_type=p.seller_tax_type,
-    )
-    facts = branches.with_company(facts, t["company_code"])
     totals = rollup.ar_totals(drivers.of_run(t["je_line"], p.run))
     partner = rules.trading_partner(
         rules.needs_partner(F.col("tp_required")), F.col("partner_segment"), F.col("company_code")
     )
     return (
-        facts.join(heads, KEY)
+        lines.filter(F.col("je_type") == "AR")
         .join(totals, KEY, "left")
         .withColumn("trading_partner", partner)
     )
@@ -212,7 +225,7 @@ def rejects_of(
         F.lit(None).cast("decimal(12,6)").alias("rate_percentage"),
         F.lit("no journal line").alias("reason"),
     )
-    unknown = charges.filter(branches.india_unsupported()).select(
+    unknown = branches.india_unsupported(charges).select(
         *RELATION, "rate_percentage", F.lit("tax rate without a rule").alias("reason")
     )
     return lost.unionByName(unknown)
@@ -227,7 +240,7 @@ def trailers_of(
     """
     key = ["run_seq_id", "country_id"]
     made = recs.select(*key, F.lit(1).cast("long").alias("made")).unionByName(
-        charges.select(*key, branches.branch_row_count().alias("made"))
+        branches.with_row_count(charges).select(*key, "made")
     )
     counts = made.groupBy(*key).agg(F.sum("made").alias("made"))
     errors = heads.groupBy(*key).agg(F.bool_or("site_missing").alias("site_error"))
@@ -255,23 +268,21 @@ def trailers_of(
 
 
 def prepare(t: Tables, p: Params) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Invoice heads, relation heads, receivable rows and numbered charges."""
+    """Invoice heads, relations, receivable rows and numbered charges."""
     cp = counterparties(t)
-    lines = journal.outbound_lines(t, p.run)
     heads = p.keep(invoice_heads(t, cp, p.run), "invoices")
-    relations = relation_heads(t, cp, lines, p)
-    charges = p.keep(
-        build_charges(t, relations, heads, invoice_amounts(t, heads, p)), "charges"
-    )
-    recs = rec_records(t, cp, lines, heads, p)
+    lines = p.keep(line_heads(t, cp, heads, p), "lines")
+    relations = lines.filter(F.col("je_type") == "REC")
+    charges = p.keep(build_charges(t, relations, invoice_amounts(t, heads, p)), "charges")
+    recs = rec_records(t, lines, p)
     return heads, relations, recs, number_charges(charges, p.large_invoice)
 
 
 def outbound(t: Tables, p: Params) -> Outbound:
     """Records, trailers, rejects and the missing-contract report.
 
-    Everything is lazy but two lineage cuts: the invoices and the charges are written once to the
-    checkpoint folder, since records, numbering and control totals all read them.
+    Everything is lazy but three lineage cuts: invoices, representative lines and charges are
+    written once to the checkpoint folder, since records, numbering and totals all read them.
     """
     tables = run_tables(t, p)
     heads, relations, recs, charges = prepare(tables, p)
