@@ -329,8 +329,12 @@ SQL: dict[str, str] = {
 HELPERS = ["billed", "entry", "settled", "invoice"]
 
 
+def needs_of(sql: str) -> list[str]:
+    return list(dict.fromkeys(re.findall(r"{(\w+)}", sql)))
+
+
 def needs(name: str) -> list[str]:
-    return list(dict.fromkeys(re.findall(r"{(\w+)}", SQL[name])))
+    return needs_of(SQL[name])
 
 
 _STORED: dict[tuple[str, str], "Adapter"] = {}
@@ -366,24 +370,3 @@ def billing_tables(spark: SparkSession, folder: str) -> Adapter:
     if key not in _STORED:
         _STORED[key] = Adapter(spark, folder)
     return _STORED[key]
-
-
-def common_tables(names: list[str]) -> str:
-    """`with ...` clause for DuckDB that defines the named tables and what they need."""
-    ordered: list[str] = []
-
-    def add(name: str) -> None:
-        if name in SQL and name not in ordered:
-            for needed in needs(name):
-                add(needed)
-            ordered.append(name)
-
-    for name in names:
-        add(name)
-    parts = []
-    for name in ordered:
-        text = SQL[name]
-        for needed in needs(name):
-            text = text.replace(f"{{{needed}}}", needed)
-        parts.append(f"{name} as materialized ({text})")
-    return "with " + ",\n".join(parts)
