@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import ChainMap
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from outledger.functions import rules
@@ -124,12 +126,15 @@ def enrich(
     one_vat_line: bool = False,
     seller_tax_type: bool = False,
     carried: tuple[str, ...] = (),
+    near: bool = False,
 ) -> DataFrame:
     """Add relation, invoice, source line, VAT line, account and cost-center facts.
 
     `one_vat_line` keeps one row per journal line: the first VAT line of its invoice and relation
     and the first HEADER line. Without it a line is repeated for all of them, as in a plain join.
-    `carried` names further columns of `lines` to keep.
+    `carried` names further columns of `lines` to keep. `near` is for a few lines out of a long
+    history: the other lines are first cut to those the given ones can meet, so that a left join
+    does not shuffle the history.
     """
     c = F.col
     origin = as_role(
@@ -139,7 +144,19 @@ def enrich(
         ),
         "origin",
     )
-    vat = vat_lines(t, one_per_relation=one_vat_line)
+    facts = t
+    if near:
+        invoices = lines.select("invoice_prefix_seq_id").distinct()
+        facts = ChainMap(
+            {
+                n: t[n].join(invoices, "invoice_prefix_seq_id", "left_semi")
+                for n in ("je_line", "invoice_line", "invoice_prefix", "invoice_header")
+            },
+            t,
+        )
+        origins = lines.select(c("src_je_line_seq_id").alias("origin_je_line_seq_id")).distinct()
+        origin = origin.join(origins, "origin_je_line_seq_id", "left_semi")
+    vat = vat_lines(facts, one_per_relation=one_vat_line)
     if seller_tax_type:
         vat = vat.drop("sabrix_tax_type")
         cp = cp.join(seller_tax_types(t), "billing_rel_id", "left")
@@ -150,7 +167,7 @@ def enrich(
     full = (
         lines.join(origin, has_origin, "left")
         .join(vat, ["invoice_prefix_seq_id", "billing_rel_id"], "left")
-        .join(invoice_facts(t, first_header=one_vat_line), "invoice_prefix_seq_id")
+        .join(invoice_facts(facts, first_header=one_vat_line), "invoice_prefix_seq_id")
         .join(cp, "billing_rel_id")
         .join(tp_flag(t["gl_account"]), c("gl_account") == c("acct_number"), "left")
         .join(
@@ -254,7 +271,8 @@ def outbound_journal(
 ) -> DataFrame:
     """The whole outbound view: every line, repeated for every VAT line of its relation."""
     return enrich(
-        outbound_lines(t, run), t, cp, pop_site, other_site, seller_tax_type=seller_tax_type
+        outbound_lines(t, run), t, cp, pop_site, other_site, seller_tax_type=seller_tax_type,
+        near=run is not None,
     )
 
 

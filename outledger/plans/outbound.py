@@ -43,6 +43,18 @@ class Params:
     keep: Callable[[DataFrame, str], DataFrame] = field(default=materialize)
 
 
+@dataclass(frozen=True)
+class Prepared:
+    """What records, trailers and rejects are made of."""
+
+    countries: DataFrame
+    heads: DataFrame
+    relations: DataFrame
+    recs: DataFrame
+    charges: DataFrame
+    numbered: DataFrame
+
+
 @dataclass(frozen=True)
 class Outbound:
     records: DataFrame
@@ -77,11 +89,12 @@ def run_tables(t: Tables, p: Params) -> Tables:
     return ChainMap(own, t)
 
 
-def invoice_heads(t: Tables, cp: DataFrame, run: int | None) -> DataFrame:
+def invoice_heads(
+    t: Tables, cp: DataFrame, countries: DataFrame, run: int | None
+) -> DataFrame:
     """Invoices of the covered countries with contract and customer site."""
-    covered = drivers.countries_in_run(t, run).select("run_seq_id", "country_id")
     invoices = drivers.invoices_in_run(t, cp, run).join(
-        covered, ["run_seq_id", "country_id"], "left_semi"
+        countries, ["run_seq_id", "country_id"], "left_semi"
     )
     contracted = drivers.contract_number(invoices, t["contracts"])
     return drivers.customer_site(contracted, t["customer_site"]).select(
@@ -117,6 +130,7 @@ def line_heads(t: Tables, cp: DataFrame, heads: DataFrame, p: Params) -> DataFra
     facts = journal.enrich(
         picked.join(heads, KEY), t, cp, p.pop_site, p.other_site, one_vat_line=True,
         seller_tax_type=p.seller_tax_type, carried=tuple(c for c in heads.columns if c not in KEY),
+        near=p.run is not None,
     )
     facts = branches.with_exception(
         facts, branches.account_exceptions(t["look_up"], t["je_line_type"])
@@ -215,43 +229,38 @@ def detail_output(details: DataFrame, local_word: Column, strict_layout: bool) -
     )
 
 
-def rejects_of(
-    t: Tables, heads: DataFrame, relations: DataFrame, charges: DataFrame, run: int | None
-) -> DataFrame:
+def rejects_of(t: Tables, made_of: Prepared, run: int | None = None) -> DataFrame:
     """Relations without a usable journal line, and India's rates without a rule."""
-    wanted = drivers.relations_of_invoices(t, run).join(heads, KEY, "left_semi")
-    lost = wanted.join(relations.select(*RELATION), RELATION, "left_anti").select(
+    wanted = drivers.relations_of_invoices(t, run).join(made_of.heads, KEY, "left_semi")
+    lost = wanted.join(made_of.relations.select(*RELATION), RELATION, "left_anti").select(
         *RELATION,
         F.lit(None).cast("decimal(12,6)").alias("rate_percentage"),
         F.lit("no journal line").alias("reason"),
     )
-    unknown = branches.india_unsupported(charges).select(
+    unknown = branches.india_unsupported(made_of.charges).select(
         *RELATION, "rate_percentage", F.lit("tax rate without a rule").alias("reason")
     )
     return lost.unionByName(unknown)
 
 
-def trailers_of(
-    t: Tables, heads: DataFrame, recs: DataFrame, charges: DataFrame, p: Params
-) -> DataFrame:
+def trailers_of(t: Tables, made_of: Prepared, p: Params) -> DataFrame:
     """One control row per run and country: the rows written and the run type.
 
     Row counts come from the charges, so the records are not made twice.
     """
     key = ["run_seq_id", "country_id"]
-    made = recs.select(*key, F.lit(1).cast("long").alias("made")).unionByName(
-        branches.with_row_count(charges).select(*key, "made")
+    made = made_of.recs.select(*key, F.lit(1).cast("long").alias("made")).unionByName(
+        branches.with_row_count(made_of.charges).select(*key, "made")
     )
     counts = made.groupBy(*key).agg(F.sum("made").alias("made"))
-    errors = heads.groupBy(*key).agg(F.bool_or("site_missing").alias("site_error"))
+    errors = made_of.heads.groupBy(*key).agg(F.bool_or("site_missing").alias("site_error"))
     month = (
         t["outbound_summary"]
         .filter(F.col("gl_identifier") == p.summary_gl)
         .select("run_seq_id", month_text(F.col("run_on")).alias("run_month"))
     )
     files = (
-        drivers.countries_in_run(t, p.run)
-        .join(counts, key, "left")
+        made_of.countries.join(counts, key, "left")
         .join(errors, key, "left")
         .join(month, "run_seq_id", "left")
     )
@@ -267,40 +276,42 @@ def trailers_of(
     )
 
 
-def prepare(t: Tables, p: Params) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Invoice heads, relations, receivable rows and numbered charges."""
+def prepare(t: Tables, p: Params) -> Prepared:
+    """Countries, invoice heads, relations, receivable rows and numbered charges.
+
+    The four frames that several results read are written once to the checkpoint folder.
+    """
     cp = counterparties(t)
-    heads = p.keep(invoice_heads(t, cp, p.run), "invoices")
+    countries = p.keep(drivers.countries_in_run(t, p.run), "countries")
+    heads = p.keep(invoice_heads(t, cp, countries, p.run), "invoices")
     lines = p.keep(line_heads(t, cp, heads, p), "lines")
     relations = lines.filter(F.col("je_type") == "REC")
     charges = p.keep(build_charges(t, relations, invoice_amounts(t, heads, p)), "charges")
-    recs = rec_records(t, lines, p)
-    return heads, relations, recs, number_charges(charges, p.large_invoice)
+    numbered = number_charges(charges, p.large_invoice)
+    return Prepared(countries, heads, relations, rec_records(t, lines, p), charges, numbered)
 
 
-def outbound(t: Tables, p: Params) -> Outbound:
-    """Records, trailers, rejects and the missing-contract report.
+def records_of(t: Tables, made_of: Prepared, p: Params) -> DataFrame:
+    """All records in the common output shape."""
+    word = F.col("local_word")
+    recs = add_lookup(made_of.recs, t["look_up"], p.local_word_key, "local_word")
+    charges = add_lookup(made_of.numbered, t["look_up"], p.local_word_key, "local_word")
+    detail = detail_output(branches.revtax(charges), word, p.strict_layout)
+    return rec_output(recs, word).unionByName(detail)
 
-    Everything is lazy but three lineage cuts: invoices, representative lines and charges are
-    written once to the checkpoint folder, since records, numbering and totals all read them.
-    """
+
+def outbound(t: Tables, p: Params) -> Outbound:
+    """Records, trailers, rejects and the missing-contract report of a run, or of all runs."""
     tables = run_tables(t, p)
-    heads, relations, recs, charges = prepare(tables, p)
-    word = F.col("local_word")
-    rec = rec_output(add_lookup(recs, t["look_up"], p.local_word_key, "local_word"), word)
-    detail = detail_output(
-        branches.revtax(add_lookup(charges, t["look_up"], p.local_word_key, "local_word")),
-        word,
-        p.strict_layout,
-    )
-    rejects = rejects_of(tables, heads, relations, charges, p.run)
+    made_of = prepare(tables, p)
+    rejects = rejects_of(tables, made_of, p.run)
     if p.fail_on_rejects:
         first = rejects.limit(1).collect()
         if first:
             raise ValueError(f"outbound run has rejects, such as {first[0].asDict()}")
     return Outbound(
-        records=rec.unionByName(detail),
-        trailers=trailers_of(tables, heads, recs, charges, p),
+        records=records_of(tables, made_of, p),
+        trailers=trailers_of(tables, made_of, p),
         rejects=rejects,
         missing_contracts=drivers.missing_contracts(tables, p.run),
     )

@@ -57,7 +57,7 @@ def _journal(t: Adapter) -> DataFrame:
     )
 
 
-def _parts(t: Adapter):
+def _parts(t: Adapter) -> job.Prepared:
     """Heads, relations, receivable rows and charges, shared by the queries of a session."""
     if "job" not in t.__dict__:
         t.job = job.prepare(t, PARAMS)
@@ -108,7 +108,7 @@ def relations_of_invoices(t):
         where h.run_seq_id = x.run_seq_id and h.invoice_prefix_seq_id = x.invoice_prefix_seq_id)
     group by all""")
 def representative_relations(t):
-    lines = _parts(t)[1]
+    lines = _parts(t).relations
     return lines.groupBy("run_seq_id", "invoice_prefix_seq_id").agg(
         F.count("*").alias("relations"),
         F.min("je_line_seq_id").alias("first_line"),
@@ -329,7 +329,7 @@ def money_text(t):
 @query("""select run_seq_id, invoice_prefix_seq_id, billing_rel_id,
     rate_percentage::double as rate_percentage, account from {charged} where country_code = 'MX'""")
 def account_override_mx(t):
-    return _parts(t)[3].filter(F.col("country_code") == "MX").select(
+    return _parts(t).charges.filter(F.col("country_code") == "MX").select(
         *RELATION, "rate_percentage", "account"
     )
 
@@ -337,13 +337,13 @@ def account_override_mx(t):
 @query("""select run_seq_id, invoice_prefix_seq_id, billing_rel_id,
     rate_percentage::double as rate_percentage, account, trading_partner from {charged}""")
 def trading_partner(t):
-    return _parts(t)[3].select(*RELATION, "rate_percentage", "account", "trading_partner")
+    return _parts(t).charges.select(*RELATION, "rate_percentage", "account", "trading_partner")
 
 
 @query("""select run_seq_id, invoice_prefix_seq_id, billing_rel_id,
     rate_percentage::double as rate_percentage, line_start from {numbered}""")
 def line_numbers(t):
-    return _parts(t)[3].select(*RELATION, "rate_percentage", "line_start")
+    return _parts(t).numbered.select(*RELATION, "rate_percentage", "line_start")
 
 
 @query(f"""select run_seq_id, invoice_prefix_seq_id, file_country, expense_account, trading_partner,
@@ -351,7 +351,7 @@ def line_numbers(t):
     {checks.descriptor("je_type = 'AR'")} as descriptor from {{recs}}""")
 def rec_records(t):
     c = F.col
-    word = job.add_lookup(_parts(t)[2], t["look_up"], PARAMS.local_word_key, "local_word")
+    word = job.add_lookup(_parts(t).recs, t["look_up"], PARAMS.local_word_key, "local_word")
     return word.select(
         "run_seq_id", "invoice_prefix_seq_id", "file_country", "expense_account",
         "trading_partner", "product_line", "ar_total",
@@ -364,22 +364,22 @@ def rec_records(t):
 
 @query(_detail_sql("country_code not in ('CN', 'IN', 'CO')"))
 def revtax_default(t):
-    return branches.revtax_default(_parts(t)[3]).select(*DETAIL)
+    return branches.revtax_default(_parts(t).numbered).select(*DETAIL)
 
 
 @query(_detail_sql("country_code = 'IN'"))
 def revtax_in(t):
-    return branches.revtax_in(_parts(t)[3]).select(*DETAIL)
+    return branches.revtax_in(_parts(t).numbered).select(*DETAIL)
 
 
 @query(_detail_sql("country_code = 'CN'"))
 def revtax_cn(t):
-    return branches.revtax_cn(_parts(t)[3]).select(*DETAIL)
+    return branches.revtax_cn(_parts(t).numbered).select(*DETAIL)
 
 
 @query(_detail_sql("country_code = 'CO'"))
 def revtax_co(t):
-    return branches.revtax_co(_parts(t)[3]).select(*DETAIL)
+    return branches.revtax_co(_parts(t).numbered).select(*DETAIL)
 
 
 @query("""select d.run_seq_id, d.file_country, strftime(s.run_on, '%Y%m') as run_month,
@@ -394,8 +394,7 @@ def revtax_co(t):
         on e.run_seq_id = d.run_seq_id and e.country_id = d.country_id
     cross join {words} w""")
 def trailer(t):
-    heads, _, recs, charges = _parts(t)
-    return job.trailers_of(t, heads, recs, charges, PARAMS)
+    return job.trailers_of(t, _parts(t), PARAMS)
 
 
 @query("""select r.run_seq_id, r.invoice_prefix_seq_id, r.billing_rel_id,
@@ -411,8 +410,7 @@ def trailer(t):
         'tax rate without a rule' from {charged} where country_code = 'IN' and (seller_vat_regime <> 'Y'
         or coalesce(rate_percentage, 0) not in (0, 0.09, 0.1236, 0.14, 0.145, 0.15, 0.18))""")
 def rejects(t):
-    heads, relations, _, charges = _parts(t)
-    return job.rejects_of(t, heads, relations, charges, None)
+    return job.rejects_of(t, _parts(t))
 
 
 @query("""select run_seq_id, file_country, country_code, invoice_prefix_seq_id, billing_rel_id,
