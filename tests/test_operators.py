@@ -116,8 +116,8 @@ def test_offsets_against_brute_force(spark):
     expected = sorted(
         (k, i, sum(m for kk, j, m in data if kk == k and j < i)) for k, i, _ in data
     )
-    for large in (1, 10, 1000):
-        got = numbering.offsets(df, ["k"], "id", "n", large)
+    for large, few in ((1, 10), (10, 10), (1000, 10), (1, 1)):
+        got = numbering.offsets(df, ["k"], "id", "n", large, broadcast_rows=few)
         assert sorted(map(tuple, got.collect())) == expected
 
 
