@@ -242,7 +242,8 @@ def fit(
         teach = teach.filter(ticket < F.lit(1_000_000.0 * most_labelled / n))
     docs = frames.pick(df, doc_id=id_col, text=text_col).filter("text is not null")
     rows = frames.stored(
-        docs.join(teach, "doc_id").select("text", F.col("toxic").cast("int")), "toxic-sample"
+        # Bounded by `most_labelled`.
+        docs.join(F.broadcast(teach), "doc_id").select("text", F.col("toxic").cast("int")), "toxic-sample"
     )
     listed = dict.fromkeys([*INSULTS.split(), *THREATS.split()], 1.0)
     lexicon = listed | learn_lexicon(rows, least, purity, size)
@@ -352,7 +353,8 @@ def fit(
         teach = teach.filter(ticket < F.lit(1_000_000.0 * most_labelled / n))
     docs = frames.pick(df, doc_id=id_col, text=text_col).filter("text is not null")
     rows = frames.stored(
-        docs.join(teach, "doc_id").select("text", F.col("toxic").cast("int")), "toxic-sample"
+        # Bounded by `most_labelled`.
+        docs.join(F.broadcast(teach), "doc_id").select("text", F.col("toxic").cast("int")), "toxic-sample"
     )
     listed = dict.fromkeys([*INSULTS.split(), *THREATS.split()], 1.0)
     lexicon = listed | learn_lexicon(rows, least, purity, size)
