@@ -160,7 +160,7 @@ def decontaminate(
 def clean(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The rows of `df` without a benchmark passage, all columns as they are."""
     hit = decontaminate(df, benchmark, id_col, **options).filter("contaminated").select("doc_id").distinct()
-    hit = frames.stored(hit, "contaminated").withColumnRenamed("doc_id", "_hit")
+    hit = frames.stored(hit, "contaminated").withColumnRenamed("doc_id", "_hit").hint("merge")
     return df.join(hit, df[id_col] == hit["_hit"], "left_anti")
 
 
