@@ -255,8 +255,9 @@ def near_duplicates(
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     pairs = frames.stored(candidates(heads.select("doc_id", "signature"), partitions), "candidates")
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    # Stored, so that the joins with pairs deal both sides anew and can split frequent documents.
-    texts = frames.stored(docs.join(wanted, "doc_id", "left_semi"), "candidate-texts")
+    # Stored, so that the joins with pairs deal both sides anew and can split frequent documents. The
+    # ids wanted grow with the table: they are never broadcast, not even while they are few.
+    texts = frames.stored(docs.join(wanted.hint("merge"), "doc_id", "left_semi"), "candidate-texts")
     labels = connected(frames.stored(linked(pairs, texts, size, percent), "links"))
     return (
         known.join(labels, known["class_id"] == labels["node"], "left")
