@@ -31,9 +31,8 @@ def rate_text(rate: Column) -> Column:
 
 
 def short_percent_text(rate: Column) -> Column:
-    """Percentage in a field of three whole digits; hashes fill it when the number is too wide."""
-    percent = (rate * 100).cast("decimal(20,3)")
-    return F.when(F.abs(percent) >= 1000, F.lit("#" * 8)).otherwise(percent.cast("string"))
+    """Percentage with three decimals, printed in full however wide it is; NULL stays NULL."""
+    return (rate * 100).cast("decimal(20,3)").cast("string")
 
 
 def day_text(ts: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from outledger.functions import rules
 from outledger.operators.counterparty import Tables
@@ -11,7 +11,6 @@ from outledger.operators.journal import GL, unshadowed
 # Fixed values of the interface.
 MANUAL_INVOICE = "M"
 REPORT_COUNTRY = "RU"
-REPORT_ROWS = 85
 
 
 def of_run(df: DataFrame, run: int | None) -> DataFrame:
@@ -153,13 +152,11 @@ def customer_site(invoices: DataFrame, sites: DataFrame) -> DataFrame:
     )
 
 
-def missing_contracts(
-    t: Tables, run: int | None = None, rows: int | None = REPORT_ROWS
-) -> DataFrame:
-    """Russian documents of the run's day whose reference has no contract, at most `rows` per run.
+def missing_contracts(t: Tables, run: int | None = None) -> DataFrame:
+    """Russian documents of the run's day whose reference has no contract with a number.
 
-    The cap is the report's own. A row number with an upper bound is cut inside each map task
-    before the shuffle, so no task ever holds a whole run.
+    A reference counts as covered where any of its contract rows has a number. All documents are
+    reported.
     """
     day = F.col("created_on").between(
         F.date_trunc("DAY", "run_date"),
@@ -186,12 +183,4 @@ def missing_contracts(
         .select("run_seq_id", "document_number", "brin_reference_id")
         .distinct()
     )
-    if rows is None:
-        return report
-    return top_rows(report, ["run_seq_id"], ["document_number", "brin_reference_id"], rows)
-
-
-def top_rows(df: DataFrame, keys: list[str], order: list[str], rows: int) -> DataFrame:
-    """The first `rows` rows of each key."""
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in order])
-    return df.withColumn("row_no", F.row_number().over(w)).filter(F.col("row_no") <= rows).drop("row_no")
+    return report

@@ -53,22 +53,6 @@ def ar_totals(je_lines: DataFrame) -> DataFrame:
     )
 
 
-def account_list(accounts: DataFrame, limit: int = 4000) -> DataFrame:
-    """All account numbers as one pipe-packed text, at most `limit` characters long.
-
-    For reports only; membership tests join the accounts themselves. The length is summed first
-    and a longer list fails in the tasks that hold the accounts, so the one task that packs the
-    text never receives more than `limit` characters.
-    """
-    distinct = accounts.select("acct_number").distinct()
-    size = distinct.agg(
-        (F.coalesce(F.sum(F.length("acct_number") + 1), F.lit(0)) + 1).alias("chars")
-    )
-    too_long = F.raise_error(F.lit(f"account list is longer than {limit} characters"))
-    checked = distinct.crossJoin(F.broadcast(size)).select(
-        F.when(F.col("chars") > limit, too_long.cast("string")).otherwise(F.col("acct_number")).alias("acct_number")
-    )
-    packed = F.expr("listagg(acct_number, '|') within group (order by acct_number)")
-    return checked.agg(
-        F.concat(F.lit("|"), F.coalesce(packed, F.lit("")), F.lit("|")).alias("account_list")
-    )
+def account_list(accounts: DataFrame) -> DataFrame:
+    """The distinct account numbers as rows, whatever their number; membership tests join them."""
+    return accounts.select("acct_number").distinct()

@@ -35,8 +35,7 @@ class Params:
     same_run: bool = False
     seller_tax_type: bool = False
     strict_layout: bool = False
-    fail_on_rejects: bool = False
-    large_invoice: int = 100_000
+    fail_on_rejects: bool = True
     # Fixed values of the interface: keys of the two look-up texts.
     local_word_key: tuple[str, str, str] = ("OUTBOUND", "CCL_AR", "CHINESE_CHAR")
     run_type_key: tuple[str, str, str] = ("INTERFACES", "cclar.out", "runtype")
@@ -165,13 +164,13 @@ def build_charges(t: Tables, relations: DataFrame, amounts: DataFrame) -> DataFr
     ).withColumn("relation_steps", F.sum("steps").over(whole))
 
 
-def number_charges(charges: DataFrame, large: int) -> DataFrame:
+def number_charges(charges: DataFrame) -> DataFrame:
     """Add `line_start`: the line numbers of the invoice that come before the charge.
 
     Only one narrow row per relation takes part in the running sum over the invoice.
     """
     totals = charges.groupBy(*RELATION).agg(F.max("relation_steps").alias("relation_steps"))
-    before = numbering.offsets(totals, KEY, "billing_rel_id", "relation_steps", large)
+    before = numbering.offsets(totals, KEY, "billing_rel_id", "relation_steps")
     return (
         charges.join(before, RELATION)
         .withColumn("line_start", F.col("offset") + F.col("rate_start"))
@@ -254,11 +253,15 @@ def trailers_of(t: Tables, made_of: Prepared, p: Params) -> DataFrame:
     )
     counts = made.groupBy(*key).agg(F.sum("made").alias("made"))
     errors = made_of.heads.groupBy(*key).agg(F.bool_or("site_missing").alias("site_error"))
+    # A run has one summary row; two of them, like none, fail the trailers.
+    one = F.when(F.count("*") > 1, F.raise_error(F.lit("more than one summary row of a run")).cast("timestamp"))
     month = (
         t["outbound_summary"]
         .filter(F.col("gl_identifier") == p.summary_gl)
+        .groupBy("run_seq_id").agg(one.otherwise(F.max("run_on")).alias("run_on"))
         .select("run_seq_id", month_text(F.col("run_on")).alias("run_month"))
     )
+    no_month = F.raise_error(F.lit("a run has no summary row")).cast("string")
     files = (
         made_of.countries.join(counts, key, "left")
         .join(errors, key, "left")
@@ -269,7 +272,7 @@ def trailers_of(t: Tables, made_of: Prepared, p: Params) -> DataFrame:
     return add_lookup(files, t["look_up"], p.run_type_key, "set_run_type").select(
         "run_seq_id",
         "file_country",
-        "run_month",
+        F.coalesce("run_month", no_month).alias("run_month"),
         n.alias("n_rows"),
         run_type.alias("run_type"),
         layout.trailer_line(F.col("run_month"), n, run_type).alias("line"),
@@ -287,7 +290,7 @@ def prepare(t: Tables, p: Params) -> Prepared:
     lines = p.keep(line_heads(t, cp, heads, p), "lines")
     relations = lines.filter(F.col("je_type") == "REC")
     charges = p.keep(build_charges(t, relations, invoice_amounts(t, heads, p)), "charges")
-    numbered = number_charges(charges, p.large_invoice)
+    numbered = number_charges(charges)
     return Prepared(countries, heads, relations, rec_records(t, lines, p), charges, numbered)
 
 

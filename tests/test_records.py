@@ -133,15 +133,6 @@ def test_india_columns_and_rejects(records, tables, made_of):
     assert [(r.invoice_prefix_seq_id, r.reason) for r in found] == [(5, "tax rate without a rule")]
 
 
-def test_large_invoices_get_the_same_numbers(made_of):
-    key = ["invoice_prefix_seq_id", "billing_rel_id", "rate_percentage", "line_start"]
-
-    def numbers(large):
-        return sorted(map(str, job.number_charges(made_of.charges, large).select(*key).collect()))
-
-    assert numbers(1) == numbers(100_000) and len(numbers(1)) == len(CHARGES)
-
-
 def test_files_and_control_totals(tables, made_of, records, tmp_path):
     expected = {}
     for r in records:
@@ -168,10 +159,10 @@ def test_one_run_is_its_part_of_all_runs(tables, records):
     both = dict(tables)
     for n in ("run", "outbound_summary"):
         both[n] = tables[n].unionByName(tables[n].withColumn("run_seq_id", F.lit(8).cast("long")))
-    one = job.outbound(both, replace(P, run=RUN, same_run=True))
+    one = job.outbound(both, replace(P, run=RUN, same_run=True, fail_on_rejects=False))
     assert [tuple(r) for r in ordered(one.records)] == [tuple(r) for r in records]
     with pytest.raises(ValueError, match="rejects"):
-        job.outbound(both, replace(P, run=RUN, fail_on_rejects=True))
+        job.outbound(both, replace(P, run=RUN))
 
 
 def test_senders_totals_sites_and_lost_relations(rows):
@@ -191,7 +182,7 @@ def test_senders_totals_sites_and_lost_relations(rows):
     )
     t["invoice_line"] = t["invoice_line"].withColumn("in_sending_gl", sender)
     t["billing_rel"] = t["billing_rel"].withColumn("seller_role", F.lit(None).cast("string"))
-    got = job.outbound(t, P)
+    got = job.outbound(t, replace(P, fail_on_rejects=False))
     found = ordered(got.records)
     rec, rev, _ = [cells(r) for r in of(found, 1)]
     assert rec[54] == "Various - Enterprise Standard Billing"
