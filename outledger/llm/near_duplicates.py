@@ -247,7 +247,7 @@ def near_duplicates(
     several = classes.filter("members > 1").select("digest", "class_id")
     known = frames.stored(
         rows.select("doc_id", "n_shingles", "digest").join(several, "digest", "left")
-        .select("doc_id", "n_shingles", "digest", F.coalesce("class_id", "doc_id").alias("class_id")),
+        .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id")),
         "class-members",
     )
     firsts = classes.select(F.col("class_id").alias("doc_id"), F.col("digest"))
