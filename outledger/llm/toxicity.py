@@ -258,117 +258,6 @@ def fit(
     return Model(lexicon, *_logistic(found[["total", "largest"]].to_numpy(), found["toxic"].to_numpy()))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
-    """Bias and two weights, none of these negative, by Newton steps with a small ridge."""
-    design = np.column_stack([np.ones(len(x)), x]).astype(float)
-    w, ridge = np.zeros(3), np.diag([0.01, 0.1, 0.1])
-    for _ in range(100):
-        p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
-        hessian = design.T @ (design * (p * (1 - p))[:, None]) + ridge
-        step = np.linalg.solve(hessian, design.T @ (y - p) - ridge @ w)
-        w = w + step * min(1.0, 1.0 / max(1e-9, float(np.abs(step).max())))
-        w[1:] = np.maximum(w[1:], 0)
-    return tuple(w.tolist())
-
-
-def score(self, total: float, largest: float) -> float:
-        z = self.bias + self.total * total + self.largest * largest
-        return 1 / (1 + math.exp(-max(-60.0, min(60.0, z))))
-
-
-def _forms(word: str) -> list[str]:
-    """The word, and its beginnings of 4 to 6 letters."""
-    return [word, *(word[:n] + "*" for n in (4, 5, 6) if len(word) > n)] if len(word) > 2 else []
-
-
-def learn_lexicon(labelled: DataFrame, least: int, purity: float, size: int) -> dict[str, float]:
-    """Words and word beginnings that stand in toxic texts far more often than in others.
-
-    Kept are those in at least `least` texts, of which at least a share `purity` is toxic, that
-    follow at least `least` different words: what only copies of one text share has one neighbour.
-    `size` is the largest number of entries. The weight is the smoothed log odds over those of all
-    texts.
-    """
-
-    def counted(every: Counter, toxic: Counter) -> pd.DataFrame:
-        words = pd.Series(list(every), dtype=object)
-        return pd.DataFrame({"word": words, "n": list(every.values()), "t": [toxic[w] for w in every]})
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        every, toxic = Counter(), Counter()
-        for batch in batches:
-            for text, label in zip(batch["text"], batch["toxic"], strict=True):
-                found = {f for w in set(TOKENS.findall(text.lower())) for f in _forms(w)}
-                every.update(found)
-                if label:
-                    toxic.update(found)
-            if len(every) > 500_000:
-                yield counted(every, toxic)
-                every, toxic = Counter(), Counter()
-        yield counted(every, toxic)
-
-    counts = (
-        labelled.select("text", "toxic").mapInPandas(run, "word string, n long, t long")
-        .groupBy("word").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
-        .filter((F.col("n") >= least) & (F.col("t") >= F.col("n") * purity))
-    )
-    often = {r["word"]: r for r in counts.orderBy(F.desc("t"), "word").limit(size).collect()}
-    whole = labelled.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("t")).first()
-    prior = math.log((whole["t"] + 0.5) / (whole["n"] - whole["t"] + 0.5))
-    candidates = frozenset(often)
-
-    def neighbours(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = set()
-            for text in batch["text"]:
-                words = TOKENS.findall(text.lower())
-                found.update(
-                    (f, before) for before, w in zip(words, words[1:], strict=False) for f in _forms(w) if f in candidates
-                )
-            yield pd.DataFrame(list(found), columns=["word", "before"], dtype=object)
-
-    varied = (
-        labelled.filter("toxic = 1").select("text").mapInPandas(neighbours, "word string, before string").distinct()
-        .groupBy("word").count().filter(F.col("count") >= least).collect()
-    )
-    kept = [often[r["word"]] for r in varied]
-    odds = lambda r: math.log((r["t"] + 0.5) / (r["n"] - r["t"] + 0.5)) - prior
-    return {r["word"]: min(6.0, max(0.5, odds(r))) for r in kept}
-
-
-def fit(
-    df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", toxic_col: str = "toxic",
-    most_labelled: int = 30_000, least: int = 8, purity: float = 0.7, size: int = 20_000,
-) -> Model:
-    """Lexicon and weights from labelled rows.
-
-    The labelled rows are a bounded sample of about `most_labelled`, by a hash of the id. Rows with a
-    NULL text or label teach nothing; an id with several labels teaches each. Listed insults and
-    threats are part of the lexicon unless the labels speak against them.
-    """
-    teach = frames.pick(labels, doc_id=id_col, toxic=toxic_col).filter("doc_id is not null and toxic is not null")
-    n = teach.count()
-    if n > most_labelled:
-        ticket = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1_000_000))
-        teach = teach.filter(ticket < F.lit(1_000_000.0 * most_labelled / n))
-    docs = frames.pick(df, doc_id=id_col, text=text_col).filter("text is not null")
-    rows = frames.stored(
-        # Bounded by `most_labelled`.
-        docs.join(F.broadcast(teach), "doc_id").select("text", F.col("toxic").cast("int")), "toxic-sample"
-    )
-    listed = dict.fromkeys([*INSULTS.split(), *THREATS.split()], 1.0)
-    lexicon = listed | learn_lexicon(rows, least, purity, size)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scorer = Scorer(lexicon)
-        for batch in batches:
-            pairs = [scorer.features(t) for t in batch["text"]]
-            yield pd.DataFrame({"total": [a for a, _ in pairs], "largest": [b for _, b in pairs], "toxic": batch["toxic"]})
-
-    found = rows.mapInPandas(run, "total double, largest double, toxic int").toPandas()
-    return Model(lexicon, *_logistic(found[["total", "largest"]].to_numpy(), found["toxic"].to_numpy()))
-
-
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
     """Bias and two weights, none of these negative, by Newton steps with a small ridge."""
     design = np.column_stack([np.ones(len(x)), x]).astype(float)
