@@ -120,15 +120,22 @@ class Encoder:
         return np.concatenate([np.asarray(p, np.uint32) for p in parts])
 
 
+def id_width(vocabulary: str, end_id: int) -> int:
+    """Bytes that hold any id of the vocabulary: 2 or 4."""
+    found = pretokens.vocabulary(vocabulary)
+    largest = max([*found["model"]["vocab"].values(), *(t["id"] for t in found["added_tokens"]), end_id])
+    return 2 if largest < 1 << 16 else 4
+
+
 def token_ids(
-    df: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2
+    df: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, width: int = 4
 ) -> DataFrame:
-    """doc_id and ids (little-endian u32) of every row; a NULL text is an empty one."""
+    """doc_id and ids (little-endian, `width` bytes each) of every row; a NULL text is an empty one."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = Encoder(vocabulary, end_id)
         for batch in batches:
-            ids = [encoder.ids(t or "").astype("<u4").tobytes() for t in batch["text"]]
+            ids = [encoder.ids(t or "").astype(f"<u{width}").tobytes() for t in batch["text"]]
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "ids": ids})
 
     rows = frames.pick(df, doc_id=id_col, text=text_col)
@@ -228,10 +235,12 @@ def _block(docs: list[tuple[int | None, np.ndarray]], codes: np.ndarray, lengths
     return b"".join([head, keys.tobytes(), null.tobytes(), sizes.tobytes(), at.tobytes(), payload])
 
 
-def write_tokens(ids: DataFrame, folder: str, tokens_per_file: int = 1 << 24, max_bits: int = MAX_BITS) -> None:
+def write_tokens(
+    ids: DataFrame, folder: str, tokens_per_file: int = 1 << 24, max_bits: int = MAX_BITS, width: int = 4
+) -> None:
     """Write (doc_id, ids) in ascending doc_id order, NULL ids first; rows of one id by content.
 
-    `ids` is read three times, so it should be a stored frame. What reaches the driver is one count
+    Ids take `width` bytes each in the frame. `ids` is read three times, so it should be a stored frame. What reaches the driver is one count
     per id of the vocabulary. A file holds about `tokens_per_file` symbols.
     """
 
@@ -239,7 +248,7 @@ def write_tokens(ids: DataFrame, folder: str, tokens_per_file: int = 1 << 24, ma
         total = np.zeros(0, np.int64)
         for batch in batches:
             for raw in batch["ids"]:
-                n = np.bincount(np.frombuffer(raw, "<u4"))
+                n = np.bincount(np.frombuffer(raw, f"<u{width}"))
                 if len(n) > len(total):
                     total = np.pad(total, (0, len(n) - len(total)))
                 total[: len(n)] += n
@@ -261,7 +270,7 @@ def write_tokens(ids: DataFrame, folder: str, tokens_per_file: int = 1 << 24, ma
             done = [] if begun else [struct.pack(HEAD, b"HEAD", len(packed)) + packed]
             begun = True
             for key, raw in zip(batch["doc_id"], batch["ids"], strict=True):
-                symbols = np.frombuffer(raw, "<u4")
+                symbols = np.frombuffer(raw, f"<u{width}")
                 docs.append((None if pd.isna(key) else int(key), symbols))
                 held += len(symbols)
                 if held >= BLOCK_SYMBOLS:
@@ -349,8 +358,10 @@ def token_table(
     id are all kept, in the order of their ids' bytes; an empty table gives no rows. Ids must be
     whole numbers.
     """
-    ids = frames.stored(token_ids(df, vocabulary, id_col, text_col, end_id), "token-ids")
-    write_tokens(ids, folder, tokens_per_file)
+    # The frame is stored and shuffled: no more bytes an id than the vocabulary needs.
+    width = id_width(vocabulary, end_id)
+    ids = frames.stored(token_ids(df, vocabulary, id_col, text_col, end_id, width), "token-ids")
+    write_tokens(ids, folder, tokens_per_file, width=width)
     docs = frames.stored(read_tokens(df.sparkSession, folder, with_ids=False), "token-rows")
     # One row per file, not per document.
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
