@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from outledger.functions import rules
 from outledger.operators.counterparty import Tables
 from outledger.operators.journal import GL, unshadowed
+from outledger.operators.picks import unique_per_key
 
 # Fixed values of the interface.
 MANUAL_INVOICE = "M"
@@ -124,7 +125,7 @@ def contract_number(invoices: DataFrame, contracts: DataFrame) -> DataFrame:
 
     The rule behind the lookup is not public, so the pairs come from the caller's table.
     """
-    known = contracts.groupBy("reference_id").agg(F.max("contract_number").alias("contract_number"))
+    known = unique_per_key(contracts, ["reference_id"], "contract_number", "contract number")
     missing = (F.col("file_country") == REPORT_COUNTRY) & F.col("contract_number").isNull()
     return (
         invoices.join(known, F.col("brin_reference_id") == F.col("reference_id"), "left")
@@ -140,7 +141,7 @@ def customer_site(invoices: DataFrame, sites: DataFrame) -> DataFrame:
     its three keys matches a NULL of the invoice.
     """
     keys = ["use_global_cust_site", "bill_to_site", "reference_id"]
-    known = sites.groupBy(*keys).agg(F.max("customer_site").alias("customer_site")).alias("k")
+    known = unique_per_key(sites, keys, "customer_site", "customer site").alias("k")
     inv = invoices.alias("i")
     on = (
         F.col("i.use_global_cust_site").eqNullSafe(F.col("k.use_global_cust_site"))

@@ -282,9 +282,11 @@ def trailers_of(t: Tables, made_of: Prepared, p: Params) -> DataFrame:
 def prepare(t: Tables, p: Params) -> Prepared:
     """Countries, invoice heads, relations, receivable rows and numbered charges.
 
-    The four frames that several results read are written once to the checkpoint folder.
+    The five frames that several results read are written once to the checkpoint folder. The
+    counterparties are one of them: invoices, picks and enrichment read the file, and the
+    organization tables are joined once.
     """
-    cp = counterparties(t)
+    cp = p.keep(counterparties(t), "counterparties")
     countries = p.keep(drivers.countries_in_run(t, p.run), "countries")
     heads = p.keep(invoice_heads(t, cp, countries, p.run), "invoices")
     lines = p.keep(line_heads(t, cp, heads, p), "lines")
