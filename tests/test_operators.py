@@ -194,3 +194,17 @@ def test_anniversaries(rows):
     departments = rows("departments", dict(department_id=1, department_name="D"))
     got = people.anniversaries(staff, departments, date(2020, 3, 2)).collect()
     assert [tuple(r) for r in got] == [("a", "D")]
+
+
+def test_two_contract_numbers_of_a_reference_fail(spark):
+    invoices = spark.createDataFrame(
+        [(1, "RU", "R1"), (2, "RU", None)], "invoice_prefix_seq_id long, file_country string, brin_reference_id string"
+    )
+    contracts = spark.createDataFrame(
+        [("R1", "C"), ("R1", None), ("R1", "C")], "reference_id string, contract_number string"
+    )
+    got = drivers.contract_number(invoices, contracts).orderBy("invoice_prefix_seq_id").collect()
+    assert [(r.contract_number, r.contract_missing) for r in got] == [("C", False), (None, True)]
+    more = contracts.unionByName(spark.createDataFrame([("R1", "D")], contracts.schema))
+    with pytest.raises(Exception, match="more than one contract number for R1"):
+        drivers.contract_number(invoices, more).collect()
