@@ -1,4 +1,4 @@
-"""Near duplicates by an LSH forest: sorted MinHash orders, common-prefix neighbours, exact check."""
+"""Near duplicates: most links by an LSH forest, those between its groups by an exact prefix join."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from outledger.llm import frames
 from outledger.llm.components import connected
@@ -16,6 +16,9 @@ from outledger.llm.components import connected
 TREES, DEPTH, SHORTEST = 20, 7, 3
 #: Earlier rows of the sorted order that each row is compared with, besides the heads of its regions.
 WINDOW = 3
+#: Documents whose shingles are counted, the count from which a shingle is frequent, the most
+#: frequent ones told to all tasks, and the parts into which each of these is dealt.
+SAMPLE, OFTEN, TOLD, SALTS = 4_000, 3, 200_000, 32
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 SPACES = np.zeros(256, bool)
@@ -222,6 +225,125 @@ def linked(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataF
     return both.select("a", "b", "text_a", "text_b").mapInPandas(run, "a long, b long")
 
 
+def frequent(docs: DataFrame, n_docs: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that are frequent in a bounded sample (ascending), and their counts there."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for text in batch["text"]:
+                yield pd.DataFrame({"shingle": shingles(text, size).view(np.int64)})
+
+    sample = docs.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(max(1, n_docs // SAMPLE))) == 0)
+    counts = sample.mapInPandas(run, "shingle long").groupBy("shingle").count().filter(F.col("count") >= OFTEN)
+    rows = counts.orderBy(F.desc("count"), "shingle").limit(TOLD).collect()
+    values = np.array([r[0] for r in rows], np.int64).view(np.uint64)
+    order = np.argsort(values)
+    return values[order], np.array([r[1] for r in rows], np.int64)[order]
+
+
+def prefix(found: np.ndarray, often: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first shingles of a set and their ranks, in one order for all sets: rare ones, then by hash.
+
+    Two sets with `percent` of their union in common share at least that part of either one, so they
+    share a shingle of these prefixes, whatever the order is.
+    """
+    n = len(found)
+    rank = np.zeros(n, np.int64)
+    if len(often):
+        at = np.minimum(np.searchsorted(often, found), len(often) - 1)
+        rank = np.where(often[at] == found, counts[at], 0)
+    order = np.lexsort((found, rank))[: max(0, min(n, n - (percent * n + 99) // 100 + 1))]
+    return found[order], rank[order]
+
+
+def shared_prefixes(docs: DataFrame, n_docs: int, size: int, percent: int) -> DataFrame:
+    """key (40 bits of a shingle), doc_id, n, place: prefix rows whose key is frequent or occurs again.
+
+    Frequent keys are kept without a look and dealt in parts, so that none is bound to one task.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(frequent(docs, n_docs, size))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        often, counts = sent.value
+        for batch in batches:
+            ids = batch["doc_id"].to_numpy(np.int64)
+            for k in range(0, len(ids), 500):
+                sets = [shingles(text, size) for text in batch["text"].iloc[k : k + 500]]
+                parts = [prefix(found, often, counts, percent) for found in sets]
+                lengths = np.array([len(p[0]) for p in parts])
+                rank = np.concatenate([p[1] for p in parts])
+                id_ = np.repeat(ids[k : k + 500], lengths)
+                part = (_mixed(id_.view(np.uint64)) % np.uint64(SALTS)).astype(np.int32)
+                yield pd.DataFrame({
+                    "key": (np.concatenate([p[0] for p in parts]) >> np.uint64(24)).astype(np.int64),
+                    "salt": np.where(rank > 0, part + 1, 0).astype(np.int32), "doc_id": id_,
+                    "n": np.repeat([len(x) for x in sets], lengths).astype(np.int32),
+                    "place": frames.ragged(lengths)[1].astype(np.int32),
+                })
+
+    each = docs.filter("doc_id is not null and text is not null").mapInPandas(
+        run, "key long, salt int, doc_id long, n int, place int"
+    )
+    times = F.count("*").over(Window.partitionBy("key", "salt"))
+    return each.withColumn("times", times).filter("salt > 0 or times > 1").select("key", "doc_id", "n", "place")
+
+
+def crossing(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """Prefix rows of the keys that occur in two groups or more, with the group (component) of the row."""
+    placed = rows.join(groups, "doc_id")
+    mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return frames.stored(placed.join(mixed.filter("low < high").select("key"), "key"), "crossing")
+
+
+def across_groups(rows: DataFrame, others: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs a < b of a key, of two groups, that can have enough in common.
+
+    Shingles before the shared one can only meet shingles before it, and likewise behind it.
+    """
+    other = others.select("key", *[F.col(c).alias(f"_{c}") for c in ("doc_id", "component", "n", "place")])
+    most = F.least("place", "_place") + F.least(F.col("n") - F.col("place"), F.col("_n") - F.col("_place"))
+    enough = most.cast("long") * (100 + percent) >= (F.col("n").cast("long") + F.col("_n")) * percent
+    pairs = rows.join(other, "key").filter((F.col("component") != F.col("_component")) & enough)
+    return pairs.select(F.least("doc_id", "_doc_id").alias("a"), F.greatest("doc_id", "_doc_id").alias("b")).distinct()
+
+
+def centres(rows: DataFrame) -> DataFrame:
+    """One row of each key: of the document that shares the most keys."""
+    shared = rows.groupBy("doc_id").agg(F.count("*").alias("shared"))
+    best = F.max(F.struct("shared", "doc_id", "component", "n", "place")).alias("best")
+    return rows.join(shared, "doc_id").groupBy("key").agg(best).select("key", "best.*").drop("shared")
+
+
+def merged(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """The groups after links between their members."""
+    ends = links.join(groups.withColumnsRenamed({"doc_id": "a", "component": "_a"}), "a").join(
+        groups.withColumnsRenamed({"doc_id": "b", "component": "_b"}), "b"
+    )
+    labels = connected(ends.select(F.col("_a").alias("a"), F.col("_b").alias("b")).distinct())
+    further = labels.select(F.col("node").alias("component"), F.col("component").alias("lower"))
+    joined = groups.join(further, "component", "left")
+    return frames.stored(joined.select("doc_id", F.coalesce("lower", "component").alias("component")), "groups")
+
+
+def completed(groups: DataFrame, rows: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """The groups after every link between two of them.
+
+    First each document is compared with the centres of its keys, which brings most members of a
+    dense group together; then all pairs that still lie in two groups and share a key.
+    """
+    for step in ("centres", "all"):
+        rows = crossing(rows.select("key", "doc_id", "n", "place"), groups)
+        if rows.isEmpty():
+            break
+        pairs = across_groups(rows, centres(rows), percent) if step == "centres" else across_groups(
+            rows, rows, percent
+        )
+        links = frames.stored(linked(frames.stored(pairs, "crossing-pairs"), texts, size, percent), "links")
+        if not links.isEmpty():
+            groups = merged(groups, links)
+    return groups
+
+
 def near_duplicates(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 75
 ) -> DataFrame:
@@ -229,8 +351,9 @@ def near_duplicates(
 
     Documents are linked where their sets of distinct `size`-word shingles have at least `percent`
     of the union in common; component_id is the smallest id that can be reached. Equal sets are one
-    class from the start. Every link is confirmed on full sets (64-bit shingle hashes); candidates
-    come from the forest, so a link near the threshold is found with high probability, not surely.
+    class from the start. Every link is confirmed on full sets (64-bit shingle hashes). The forest
+    finds most links; a prefix-filtered join then finds every link between two of its groups, so the
+    components are those of an exact join.
 
     NULL and empty texts, and texts of white space, have the empty set and are linked with nothing.
     A row with a NULL id is kept, unlinked, with a NULL component. Rows that share an id are
@@ -254,11 +377,20 @@ def near_duplicates(
     heads = rows.select("doc_id", "digest", "signature").join(firsts, ["doc_id", "digest"], "left_semi")
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     pairs = frames.stored(candidates(heads.select("doc_id", "signature"), partitions), "candidates")
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    several_keys = frames.stored(shared_prefixes(docs, rows.count(), size, percent), "prefixes")
+    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).union(several_keys.select("doc_id")).distinct()
     # Stored, so that the joins with pairs deal both sides anew and can split frequent documents. The
     # ids wanted grow with the table: they are never broadcast, not even while they are few.
     texts = frames.stored(docs.join(wanted.hint("merge"), "doc_id", "left_semi"), "candidate-texts")
     labels = connected(frames.stored(linked(pairs, texts, size, percent), "links"))
+    ends = labels.withColumnRenamed("node", "doc_id")
+    groups = frames.stored(
+        heads.select("doc_id").distinct().join(ends, "doc_id", "left")
+        .select("doc_id", F.coalesce("component", "doc_id").alias("component")),
+        "groups",
+    )
+    groups = completed(groups, several_keys, texts, size, percent)
+    labels = groups.filter("doc_id <> component").withColumnRenamed("doc_id", "node")
     return (
         known.join(labels, known["class_id"] == labels["node"], "left")
         .withColumn("component_id", F.coalesce("component", "class_id"))

@@ -143,6 +143,33 @@ def test_near_duplicates(llm):
     assert near_duplicates.near_duplicates(docs(llm, *rows).limit(0)).count() == 0
 
 
+def test_near_duplicates_of_a_star(llm):
+    """Independent edits of one original at a middle id: each is near the original only."""
+    rng = random.Random(11)
+    original = [f"v{rng.randint(0, 10**6)}" for _ in range(400)]
+    rows = [(1000, " ".join(original))]
+    for k in [*range(1000), *range(1001, 2000)]:
+        words = list(original)
+        for at in rng.sample(range(400), rng.choice([9, 10])):
+            words[at] = f"n{rng.randint(0, 10**9)}"
+        rows.append((k, " ".join(words)))
+    sets = {k: set(near_duplicates.shingles(t).tolist()) for k, t in rows}
+    near = lambda a, b: 175 * len(sets[a] & sets[b]) >= 75 * (len(sets[a]) + len(sets[b]))
+    lowest, todo = {}, set(sets)
+    while todo:
+        first, reach = min(todo), [min(todo)]
+        todo.remove(first)
+        while reach:
+            a = reach.pop()
+            lowest[a] = first
+            found = {b for b in todo if near(a, b)}
+            todo -= found
+            reach += found
+    got = near_duplicates.near_duplicates(docs(llm, *rows)).collect()
+    assert {r.doc_id: r.component_id for r in got} == lowest
+    assert sum(near(k, 1000) for k in sets) > 1500
+
+
 def test_components_of_a_chain(llm):
     links = llm.createDataFrame([(k, k + 1) for k in range(40)] + [(100, 101), (7, 7)], "a long, b long")
     assert dict(map(tuple, components.connected(links).collect())) == {k: 0 for k in range(41)} | {100: 100, 101: 100}
