@@ -21,12 +21,23 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.clean(docs, model).select(*DOCUMENTS)
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """The rows with a stored number of their own, `_row`: ids may be NULL or repeated."""
+    return stored(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each group of near duplicates."""
+    """One row, that with the smallest id, of each group of near duplicates; rows with a NULL id stay."""
     ship_package(spark)
-    copies = near_duplicates.near_duplicates(docs).filter("not kept").select("doc_id").distinct()
-    # Copies grow with the table: dealt by id at every size.
-    return docs.join(stored(copies, "copies").hint("merge"), "doc_id", "left_anti").select(*DOCUMENTS)
+    rows = numbered(docs)
+    # Compared by row number; rows without an id are linked with nothing.
+    own = rows.select("text", F.when(F.col("doc_id").isNotNull(), F.col("_row")).alias("_row"))
+    found = near_duplicates.near_duplicates(own, "_row").select(F.col("doc_id").alias("_row"), "component_id")
+    members = stored(rows.select("_row", "doc_id").join(found, "_row"), "members")
+    firsts = members.groupBy("component_id").agg(F.count("*").alias("members"), F.min(F.struct("doc_id", "_row")).alias("first"))
+    copies = members.join(firsts.filter("members > 1"), "component_id").filter("_row <> first._row").select("_row")
+    # Copies grow with the table: dealt by row at every size.
+    return rows.join(stored(copies, "copies").hint("merge"), "_row", "left_anti").select(*DOCUMENTS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,8 +48,9 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it."""
-    copies = mixing.mix(docs).groupBy("doc_id").agg(F.max("copies").alias("_copies")).filter("_copies > 0")
-    repeated = docs.join(copies, "doc_id").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    rows = numbered(docs)
+    copies = mixing.mix(rows, carry=("_row",)).select("_row", F.col("copies").alias("_copies")).filter("_copies > 0")
+    repeated = rows.join(copies, "_row").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
     return repeated.select(*DOCUMENTS)
 
 

@@ -158,10 +158,14 @@ def decontaminate(
 
 
 def clean(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of `df` without a benchmark passage, all columns as they are."""
-    hit = decontaminate(df, benchmark, id_col, **options).filter("contaminated").select("doc_id").distinct()
-    hit = frames.stored(hit, "contaminated").withColumnRenamed("doc_id", "_hit").hint("merge")
-    return df.join(hit, df[id_col] == hit["_hit"], "left_anti")
+    """The rows of `df` without a benchmark passage, all columns as they are.
+
+    Rows are told apart by a stored number, not by `id_col`: NULL and repeated ids are no special case.
+    """
+    rows = frames.stored(df.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    hit = decontaminate(rows, benchmark, "_row", **options).filter("contaminated")
+    hit = frames.stored(hit.select(F.col("doc_id").alias("_row")), "contaminated").hint("merge")
+    return rows.join(hit, "_row", "left_anti").select(*df.columns)
 
 
 def _digest(items) -> str:

@@ -51,9 +51,12 @@ def mix(
     weights: tuple[int, ...] = (5, 2, 1),
     share: float = 1.5,
     most: float = 2.0,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """doc_id, size, source_size, target, taken (words) and copies of every row.
 
+    `carry` names columns of `df` that come out as they are, such as a row number.
+
     Each document gets floor(target / source_size) certain copies. The words still missing come from
     a Pareto order sample: with u from a hash of the id and inclusion odds in proportion to size,
     documents are taken by ascending (u / (1 - u)) / odds until half of the next one would go beyond
@@ -66,13 +69,14 @@ def mix(
     of its own; a NULL id hashes as the empty text. Rows with one id rank by text; equal rows
     are taken together. An empty table gives no rows; a source without words has target 0.
     """
-    docs = frames.pick(df, doc_id=id_col, text=text_col, source=source_col)
+    docs = frames.pick(df, doc_id=id_col, text=text_col, source=source_col, **{f"carry_{c}": c for c in carry})
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     u = (F.conv(F.substring(key, 1, 12), 16, 10).cast("double") + 0.5) / F.lit(2.0**48)
     rows = frames.stored(
         docs.select(
             "doc_id", "source", frames.n_words("text").alias("size"), u.alias("u"),
             F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("tie"),
+            *[f"carry_{c}" for c in carry],
         )
         .withColumn("odds", F.when(F.col("size") > 0, F.col("u") / (1 - F.col("u")) / F.col("size")))
         .withColumn("name", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit(""))),
@@ -119,6 +123,7 @@ def mix(
         .select(
             "doc_id", "size", "source_size", "target",
             (F.col("copies") * F.col("size")).alias("taken"), "copies",
+            *[F.col(f"carry_{c}").alias(c) for c in carry],
         )
     )
 
