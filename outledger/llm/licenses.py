@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from outledger.llm import frames
@@ -44,6 +47,71 @@ use this software in a product, an acknowledgment in the product documentation w
 but is not required. 2. Altered source versions must be plainly marked as such, and must not be
 misrepresented as being the original software. 3. This notice may not be removed or altered from any
 source distribution.""",
+    "BSD-2-Clause": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met: 1. Redistributions of
+source code must retain the above copyright notice, this list of conditions and the following
+disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of
+conditions and the following disclaimer in the documentation and/or other materials provided with the
+distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR
+IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND
+FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR
+CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE,
+DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN
+CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE
+USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met: 1. Redistributions of
+source code must retain the above copyright notice, this list of conditions and the following
+disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of
+conditions and the following disclaimer in the documentation and/or other materials provided with the
+distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be
+used to endorse or promote products derived from this software without specific prior written
+permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR
+IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND
+FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR
+CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE,
+DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN
+CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE
+USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+    "Unlicense": ["""This is free and unencumbered software released into the public domain. Anyone is free
+to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form
+or as a compiled binary, for any purpose, commercial or non-commercial, and by any means. In
+jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and
+all copyright interest in the software to the public domain. We make this dedication for the benefit
+of the public at large and to the detriment of our heirs and successors. We intend this dedication to
+be an overt act of relinquishment in perpetuity of all present and future rights to this software
+under copyright law. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR
+PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION
+WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+    """This is free and unencumbered software released into the public domain. Anyone is free
+to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form
+or as a compiled binary, for any purpose, commercial or non-commercial, and by any means. In
+jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and
+all copyright interest in the software to the public domain. We make this dedication for the benefit
+of the public at large and to the detriment of our heirs and successors. We intend this dedication to
+be an overt act of relinquishment in perpetuity of all present and future rights to this software
+under copyright law. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR
+PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION
+WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE. For more information, please refer to
+<https://unlicense.org>""", """This is free and unencumbered software released into the public domain. Anyone is free
+to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form
+or as a compiled binary, for any purpose, commercial or non-commercial, and by any means. In
+jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and
+all copyright interest in the software to the public domain. We make this dedication for the benefit
+of the public at large and to the detriment of our heirs and successors. We intend this dedication to
+be an overt act of relinquishment in perpetuity of all present and future rights to this software
+under copyright law. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR
+PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION
+WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE. For more information, please refer to
+<http://unlicense.org/>"""],
     "GPL-2.0-notice": "This work is licensed under the GNU General Public License, version 2.",
     "GPL-3.0-notice": "This work is licensed under the GNU General Public License, version 3.",
     "CC-BY-NC-4.0-notice": "Licensed under CC BY-NC 4.0.",
@@ -52,6 +120,21 @@ source distribution.""",
     "CC-BY-4.0-notice": "Licensed under the Creative Commons Attribution 4.0 International License.",
 }
 
+#: Whole public licences, one file each.
+TEXTS = Path(__file__).parent / "license_texts"
+
+
+def wordings(text: str) -> list[str]:
+    """A whole licence with and without its title paragraph, and with and without what follows the terms."""
+    ends = [text, *(text[: m.end()] for m in re.finditer(r"END OF TERMS AND CONDITIONS", text))]
+    return ends + [re.split(r"\n[ \t]*\n", x.strip(), maxsplit=1)[-1] for x in ends]
+
+
+def known_texts() -> dict[str, str | list[str]]:
+    """KNOWN and the whole licences of the files."""
+    return KNOWN | {p.stem: wordings(p.read_text("utf-8", "replace").replace("\f", "\n")) for p in sorted(TEXTS.glob("*.txt"))}
+
+
 # Equivalent spellings, as they stand after case and punctuation are gone.
 SPELLINGS = {
     "licence": "license", "licences": "licenses", "licenced": "licensed", "sub license": "sublicense",
@@ -63,6 +146,12 @@ SPELLINGS = {
 COPYRIGHT_LINE = (
     r"^[\s/*#;%-]*((copyright[ \t]*(\(c\)|©|[0-9]|by )|\(c\)[ \t]*[0-9]|©).*|all rights reserved\.?[ \t]*)$"
 )
+# A line that only names the licence of the text below it.
+TITLE_LINE = (
+    r"^[\s/*#;%=-]*(the[ \t]+)?(mit|expat|x11|isc|zlib|bsd|(new|simplified|modified|revised)[ \t]+bsd|"
+    r"(bsd[ \t]+)?[23]-clause([ \t]+[\"']?(new|simplified|revised)[\"']?)?([ \t]+or[ \t]+[\"'](revised|new)[\"'])?([ \t]+bsd)?)"
+    r"[ \t]+licen[sc]e([ \t]*\([^()]*\))?[\s:.*/#=-]*$|^[\s/*#;%=-]*the[ \t]+unlicense[\s.:]*$"
+)
 BETWEEN_WORDS = r"[^\p{L}\p{N}]+"
 
 
@@ -85,9 +174,9 @@ def canonical_units(df: DataFrame, text_col: str) -> DataFrame:
 
     Paragraphs are divided by blank lines; they and lines are listed only where there are several.
     Copyright lines become empty: those that begin, after comment signs, with "copyright" and a
-    year, a sign or "by", with "(c)" and a year, or with the sign; or say "all rights reserved".
+    year, a sign or "by", with "(c)" and a year, or with the sign; or say "all rights reserved". So do lines that only name a short licence ("MIT License").
     """
-    line = lambda x: F.when(F.trim(x) == "", "\n").when(F.lower(x).rlike(COPYRIGHT_LINE), "").otherwise(plain(x))
+    line = lambda x: F.when(F.trim(x) == "", "\n").when(F.lower(x).rlike(f"{COPYRIGHT_LINE}|{TITLE_LINE}"), "").otherwise(plain(x))
     text = F.translate(F.coalesce(text_col, F.lit("")), "\r", "")
     several = lambda parts: F.when(F.size(parts) > 1, F.col(parts)).otherwise(F.array().cast("array<string>"))
     # Step by step, so that no list is made twice.
@@ -102,9 +191,13 @@ def canonical_units(df: DataFrame, text_col: str) -> DataFrame:
     )
 
 
-def known_digests(spark: SparkSession, texts: dict[str, str] | None = None) -> DataFrame:
-    """digest, license_id and length of the known texts; of equal texts the first id by name."""
-    rows = spark.createDataFrame(sorted((texts or KNOWN).items()), "license_id string, text string")
+def known_digests(spark: SparkSession, texts: dict[str, str | list[str]] | None = None) -> DataFrame:
+    """digest, license_id and length of the known texts; of equal texts the first id by name.
+
+    An id has one text or a list of wordings.
+    """
+    each = [(k, t) for k, v in (texts or known_texts()).items() for t in ([v] if isinstance(v, str) else v)]
+    rows = spark.createDataFrame(sorted(each), "license_id string, text string")
     whole = canonical_units(rows, "text").select("license_id", spelled(F.col("units")[0]).alias("whole"))
     return whole.groupBy(F.sha2("whole", 256).alias("digest")).agg(
         F.min("license_id").alias("license_id"), F.max(F.length("whole")).alias("length")

@@ -223,6 +223,21 @@ def test_licenses(llm):
     assert "Python" not in plan and "Pandas" not in plan
 
 
+def test_whole_licenses(llm):
+    """Usual licence files: with title, copyright line and numbered paragraphs."""
+    files = {p.stem: p.read_text() for p in licenses.TEXTS.glob("*.txt")}
+    short = {k: f"{title}\n\nCopyright (c) 2021, Someone\nAll rights reserved.\n\n{licenses.KNOWN[k]}\n" for k, title in [
+        ("MIT", "The MIT License (MIT)"), ("ISC", "ISC License"), ("BSD-2-Clause", "BSD 2-Clause License"),
+        ("BSD-3-Clause", "BSD 3-Clause License"), ("Zlib", "zlib License")]}
+    short["Unlicense"] = licenses.KNOWN["Unlicense"][1]
+    gpl = files["GPL-3.0"]
+    terms = gpl[: gpl.index("END OF TERMS AND CONDITIONS") + 27]
+    wanted = [*files.items(), *short.items(), ("GPL-3.0", terms), ("GPL-3.0", terms.split("\n\n", 1)[1])]
+    rows = [(k, text) for k, (_, text) in enumerate(wanted)]
+    got = {r.doc_id: r.license_id for r in licenses.license_scan(docs(llm, *rows), licenses.known_digests(llm)).collect()}
+    assert got == {k: name for k, (name, _) in enumerate(wanted)}
+
+
 def test_language(llm):
     rng = random.Random(5)
     sound = {"aa": "the of and ing er".split(), "bb": "ung sch der die keit".split()}
