@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import uuid
+import zlib
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from outledger.llm import (
-    decontamination, language, licenses, mixing, near_duplicates, token_counts, token_file, topk, toxicity, warc,
+    decontamination, hard_negatives, language, licenses, mixing, near_duplicates, quality, runs, token_counts,
+    token_file, topk, toxicity, warc,
 )
 from outledger.llm.frames import crc_fold, ship_package, table
 from outledger.runtime import checkpoint_dir
@@ -81,11 +83,45 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    docs = table(spark, sf_dir, "documents")
+    seen = crc_fold("doc_id", 4) != 2
+    model = quality.fit(docs.filter(seen), table(spark, sf_dir, "labels").filter(seen))
+    return quality.score(docs, model).select(
+        "doc_id", (crc_fold("doc_id", 4) == 2).alias("held_out"), "score", "predicted"
+    )
+
+
+def periodic(doc_id: int | None, words: list[str]) -> list[str]:
+    """Every tenth document (by crc32 of its id) goes on with a repeated stretch from a word on."""
+    n, h = len(words), zlib.crc32(str(doc_id).encode())
+    if h % 10 or not n or doc_id is None:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + k % p] for k in range(n - a)]
+
+
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return runs.periodic_runs(table(spark, sf_dir, "documents"), words=periodic, texts=False)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    vectors = table(spark, sf_dir, "embeddings")
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = vectors.withColumn("label", noisy)
+    return hard_negatives.hard_negatives(rows, rows.filter("vec_id % 100 = 0"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_toxicity, op2_token_counts, op3_decontamination, op4_near_duplicates, op5_token_file, op6_warc,
-        op7_top_k, op8_licenses, op9_language, op10_mixing,
+        op7_top_k, op8_licenses, op9_language, op10_mixing, op11_quality, op12_runs, op13_hard_negatives,
     )
 }
 
@@ -190,4 +226,23 @@ summed as (
 select doc_id, size, source_size, target,
     cast(size * (copies + case when size > 0 and earlier + size / 2.0::double <= missing then 1 else 0 end) as bigint) as taken
 from summed""",
+    "op13_hard_negatives": """
+with v as (
+    select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+        list_transform(embedding, lambda x: floor(256 * cast(x as double))) as e
+    from embeddings where embedding is not null and vec_id is not null and label is not null
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+    select a.vec_id as anchor_id, c.vec_id, a.label = c.label as same, cast(list_dot_product(a.e, c.e) as bigint) as score
+    from v a join v c on a.vec_id <> c.vec_id where a.vec_id % 100 = 0),
+positives as (
+    select anchor_id, vec_id as positive_id, score as positive_score from scored where same
+    qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5),
+ranked as (
+    select anchor_id, positive_id, vec_id as negative_id, positive_score, score as negative_score,
+        row_number() over (partition by anchor_id, positive_id order by score desc, vec_id) as rank
+    from positives join scored using (anchor_id)
+    where not same and 80 * positive_score <= 100 * score and score <= positive_score)
+select anchor_id, positive_id, cast(rank as integer) as rank, negative_id, positive_score, negative_score
+from ranked where rank <= 5""",
 }
