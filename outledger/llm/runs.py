@@ -64,7 +64,7 @@ class Grammar:
         # Symbols that have left the pairing, with their document's rest.
         done_at = []
         while len(at):
-            at, symbol, document, rest = self._round(at, symbol, document, n)
+            at, symbol, document, rest = self._round(at, symbol, document, starts)
             done_at.append(rest)
         self._trees(np.sort(np.concatenate(done_at)) if done_at else at, starts, n)
         self.left, self.size = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (self._left, self._size))
@@ -77,14 +77,15 @@ class Grammar:
         self._size.append(size)
         self.rules += len(left)
 
-    def _round(self, at, symbol, document, n):
+    def _round(self, at, symbol, document, starts):
         """Replace the pairs that are commoner than both pairs they overlap; ends documents without repeats.
 
         `at` are the places of the symbols (ascending), `symbol` their numbers. Pairs count inside
         their document. The commonest pair of a document has no commoner neighbour, so each round
         shortens every document that still has a repeated pair.
         """
-        size = np.diff(at, append=n)
+        # The last symbol of a document ends with it: documents in between may be finished.
+        size = np.minimum(np.append(at[1:], starts[-1]), starts[document + 1]) - at
         inner = np.flatnonzero(document[1:] == document[:-1])
         if not len(inner):
             return at[:0], symbol[:0], document[:0], at

@@ -143,6 +143,13 @@ def test_runs_against_brute_force():
 
 def test_runs_do_not_cross_documents():
     assert by_grammar([["a"] * 11, ["a"] * 11, ["a"] * 12]) == [[], [], [(0, 12, 1)]]
+    # Documents that are finished early between others that share their words.
+    documents = [list("xyzxyz"), list("xyzw"), list("xyzxyzxyz"), list("zxyz"), list("xyzxyzxyzxyz"), list("xyz")]
+    words, starts = runs.word_numbers(documents)
+    grammar = runs.Grammar(words, starts)
+    owner = np.searchsorted(starts, grammar.place, side="right")
+    assert (grammar.place + grammar.size[grammar.rule] <= starts[owner]).all()
+    assert by_grammar(documents) == [plain_runs(d) for d in documents]
 
 
 def test_grammar_derives_its_text():
