@@ -39,6 +39,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, name)
 
 
+def discard(*frames: DataFrame) -> None:
+    """Delete the files of stored frames that nothing reads any more."""
+    for df in frames:
+        for folder in {name.rpartition("/")[0] for name in df.inputFiles()}:
+            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def n_words(text: str | Column) -> Column:
     """Runs of anything but ASCII white space; NULL has none."""
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")

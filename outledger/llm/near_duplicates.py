@@ -16,9 +16,11 @@ from outledger.llm.components import connected
 TREES, DEPTH, SHORTEST = 20, 7, 3
 #: Earlier rows of the sorted order that each row is compared with, besides the heads of its regions.
 WINDOW = 3
-#: Documents whose shingles are counted, the count from which a shingle is frequent, the most
-#: frequent ones told to all tasks, and the parts into which each of these is dealt.
-SAMPLE, OFTEN, TOLD, SALTS = 4_000, 3, 200_000, 32
+#: Documents whose shingles are counted (every SHARE-th, at least SAMPLE), the count from which a shingle
+#: is frequent, the most frequent ones told to all tasks, and the parts into which each of these is dealt.
+SHARE, SAMPLE, OFTEN, TOLD, SALTS = 16, 4_000, 3, 400_000, 32
+#: Most bits of the filter that keeps texts of no pair from being moved.
+FILTER_BITS = 1 << 28
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 SPACES = np.zeros(256, bool)
@@ -76,31 +78,102 @@ def _permutations(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signature(found: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The least value of each permutation, upper 32 bits."""
+    """16 mixed bits of the least value of each permutation."""
     least = np.full(len(a), np.iinfo(np.uint64).max, np.uint64)
     for k in range(0, len(found), 1024):
         np.minimum(least, (found[k : k + 1024, None] * a + b).min(axis=0), out=least)
-    return (least >> np.uint64(32)).astype(np.uint32)
+    return (least * MULTIPLIER >> np.uint64(48)).astype(np.uint16)
 
 
-def profiles(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n_shingles, digest (of the whole set, NULL if empty) and MinHash signature."""
+def parity(found: np.ndarray) -> np.ndarray:
+    """A bit per residue of the hashes: whether an odd number of them has it.
+
+    The bits that differ between two sets number at most the elements in one set only, so too many of
+    them rule a pair out for certain. A set has one to two bits an element, 64 at least; half the bits
+    folded onto the other half are the bits of the smaller width.
+    """
+    bits = max(64, 1 << max(0, len(found) - 1).bit_length())
+    odd = np.bincount((found & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(bool), bitorder="little")
+
+
+def apart(one: bytes, other: bytes) -> int:
+    """Bits that differ, at the width of the smaller set: a lower bound of the elements in one set only."""
+    x, y = np.frombuffer(one, np.uint64), np.frombuffer(other, np.uint64)
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def frequent(docs: DataFrame, n_docs: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that are frequent in a sample that grows with the table (ascending), and their counts there."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sets = [shingles(text, size) for text in batch["text"]]
+            found, counts = np.unique(np.concatenate(sets) if sets else np.empty(0, np.uint64), return_counts=True)
+            yield pd.DataFrame({"shingle": found.view(np.int64), "n": counts})
+
+    one_of = max(1, min(SHARE, n_docs // SAMPLE))
+    sample = docs.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(one_of)) == 0)
+    counts = sample.mapInPandas(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+    rows = counts.filter(F.col("n") >= OFTEN).orderBy(F.desc("n"), "shingle").limit(TOLD).toPandas()
+    values = rows["shingle"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(values)
+    return values[order], rows["n"].to_numpy(np.int64)[order]
+
+
+def prefix(found: np.ndarray, often: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
+    """The first shingles of a set, in one order for all sets (rare ones, then by hash), and how many are rare.
+
+    Two sets with `percent` of their union in common share at least that part of either one, so they
+    share a shingle of these prefixes, whatever the order is.
+    """
+    n = len(found)
+    rank = np.zeros(n, np.int64)
+    if len(often):
+        at = np.minimum(np.searchsorted(often, found), len(often) - 1)
+        rank = np.where(often[at] == found, counts[at], 0)
+    length = max(0, min(n, n - (percent * n + 99) // 100 + 1))
+    rare = np.flatnonzero(rank == 0)
+    if len(rare) >= length:
+        # Hashes ascend already.
+        return found[rare[:length]], length
+    order = np.lexsort((found, rank))[:length]
+    return found[order], len(rare)
+
+
+def profiles(docs: DataFrame, size: int, percent: int, n_docs: int) -> DataFrame:
+    """One row per document: doc_id, n_shingles, and of a set that isn't empty its digest, MinHash
+    signature, parity bits and the keys of its prefix (40 bits of a shingle each; `rare` of them are rare)."""
+    sent = docs.sparkSession.sparkContext.broadcast(frequent(docs, n_docs, size))
+
+    def of(text: str | None, a: np.ndarray, b: np.ndarray) -> tuple:
+        found = shingles(text, size)
+        if not len(found):
+            return 0, None, None, None, None, 0
+        first, rare = prefix(found, *sent.value, percent)
+        keys = (first >> np.uint64(24)).astype(">u8").view(np.uint8).reshape(-1, 8)[:, 3:]
+        digest = hashlib.blake2b(found.tobytes(), digest_size=16).digest()
+        # Big-endian: the order of the bytes is the order of the values.
+        values = signature(found, a, b).astype(">u2").tobytes()
+        return len(found), digest, values, parity(found).tobytes(), keys.tobytes(), rare
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         a, b = _permutations(TREES * DEPTH)
         for batch in batches:
-            n, digests, signatures = [], [], []
-            for text in batch["text"]:
-                found = shingles(text, size)
-                n.append(len(found))
-                digests.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None)
-                # Big-endian: the order of the bytes is the order of the values.
-                signatures.append(signature(found, a, b).astype(">u4").tobytes() if len(found) else None)
-            yield pd.DataFrame(
-                {"doc_id": batch["doc_id"].astype("Int64"), "n_shingles": n, "digest": digests, "signature": signatures}
+            rows = pd.DataFrame(
+                [of(text, a, b) for text in batch["text"]],
+                columns=["n_shingles", "digest", "signature", "bits", "keys", "rare"],
             )
+            rows.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy())
+            yield rows
 
-    return docs.mapInPandas(run, "doc_id long, n_shingles long, digest binary, signature binary")
+    return docs.mapInPandas(
+        run, "doc_id long, n_shingles long, digest binary, signature binary, bits binary, keys binary, rare int"
+    )
 
 
 def _neighbours(ids: np.ndarray, trees: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -137,8 +210,8 @@ CHUNK = 50_000
 
 
 def _tree_rows(batch: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    raw = np.frombuffer(b"".join(batch["prefix"]), ">u4").reshape(len(batch), DEPTH)
-    return batch["doc_id"].to_numpy(np.int64), batch["tree"].to_numpy(np.int64), raw.astype(np.uint32)
+    raw = np.frombuffer(b"".join(batch["prefix"]), ">u2").reshape(len(batch), DEPTH)
+    return batch["doc_id"].to_numpy(np.int64), batch["tree"].to_numpy(np.int64), raw.astype(np.uint16)
 
 
 def _carried(ids, trees, keys) -> np.ndarray:
@@ -161,7 +234,7 @@ def candidates(rows: DataFrame, partitions: int) -> DataFrame:
     """
     trees = F.transform(
         F.sequence(F.lit(0), F.lit(TREES - 1)),
-        lambda t: F.struct(t.alias("tree"), F.substring("signature", t * (4 * DEPTH) + 1, F.lit(4 * DEPTH)).alias("prefix")),
+        lambda t: F.struct(t.alias("tree"), F.substring("signature", t * (2 * DEPTH) + 1, F.lit(2 * DEPTH)).alias("prefix")),
     )
     each = rows.select("doc_id", F.inline(trees))
     ordered = each.repartitionByRange(partitions, "tree", "prefix", "doc_id").sortWithinPartitions(
@@ -185,7 +258,7 @@ def candidates(rows: DataFrame, partitions: int) -> DataFrame:
             edge.append(kept)
             ids, trees, keys = (np.concatenate(x) for x in zip(*edge, strict=True))
             yield pd.DataFrame({
-                "a": ids, "b": ids, "tree": trees, "prefix": [k.astype(">u4").tobytes() for k in keys],
+                "a": ids, "b": ids, "tree": trees, "prefix": [k.astype(">u2").tobytes() for k in keys],
             }).drop_duplicates()
 
     found = frames.stored(
@@ -206,7 +279,61 @@ def candidates(rows: DataFrame, partitions: int) -> DataFrame:
     return inner.unionByName(border).distinct()
 
 
-def linked(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+def likely(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that sizes and parity bits don't rule out; no pair that is a link is lost.
+
+    Sets with `percent` of their union in common differ in at most (100 - percent) of 100 + percent
+    parts of their sizes' sum.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            lower = np.fromiter(map(apart, batch["bits_a"], batch["bits_b"]), np.int64, len(batch))
+            keep = lower * (100 + percent) <= (100 - percent) * batch["total"].to_numpy(np.int64)
+            yield batch.loc[keep, ["a", "b"]]
+
+    known = sets.select("doc_id", "n_shingles", "bits")
+    near = pairs.join(known.withColumnsRenamed({"doc_id": "a", "n_shingles": "n_a", "bits": "bits_a"}), "a").join(
+        known.withColumnsRenamed({"doc_id": "b", "n_shingles": "n_b", "bits": "bits_b"}), "b"
+    )
+    sized = near.filter(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
+    return sized.select("a", "b", (F.col("n_a") + F.col("n_b")).alias("total"), "bits_a", "bits_b").mapInPandas(
+        run, "a long, b long"
+    )
+
+
+def _places(ids: np.ndarray, bits: int) -> np.ndarray:
+    return (_mixed(ids.astype(np.int64).view(np.uint64)) % np.uint64(bits)).astype(np.int64)
+
+
+def texts_of(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The texts of the documents in pairs, and of a few others.
+
+    The ids pass through a bitmap of bounded size that every task gets, so that only texts that are
+    wanted move, without moving all of them to meet the ids. A full bitmap lets more texts pass.
+    """
+    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    bits = max(1 << 16, min(FILTER_BITS, 1 << (16 * ids.count()).bit_length()))
+
+    def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            place = np.unique(_places(batch["doc_id"].to_numpy(), bits))
+            yield pd.DataFrame({"word": place >> 6, "mask": np.int64(1) << (place & 63)})
+
+    words = ids.mapInPandas(mark, "word long, mask long").groupBy("word").agg(F.bit_or("mask").alias("mask")).toPandas()
+    bitmap = np.zeros(bits >> 6, np.int64)
+    bitmap[words["word"].to_numpy(np.int64)] = words["mask"].to_numpy(np.int64)
+    sent = docs.sparkSession.sparkContext.broadcast(bitmap)
+
+    @F.pandas_udf("boolean")
+    def marked(id_: pd.Series) -> pd.Series:
+        place = _places(id_.to_numpy(), bits)
+        return pd.Series(sent.value[place >> 6] >> (place & 63) & 1 == 1)
+
+    return docs.filter("doc_id is not null").filter(marked("doc_id"))
+
+
+def linked(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs whose full sets have at least `percent` of their union in common."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -220,79 +347,60 @@ def linked(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataF
                 keep.append(100 * both >= percent * (len(one) + len(other) - both))
             yield batch.loc[keep, ["a", "b"]]
 
+    texts = frames.stored(texts_of(docs, pairs), "pair-texts")
     left = pairs.join(texts.withColumnsRenamed({"doc_id": "a", "text": "text_a"}), "a")
     both = left.join(texts.withColumnsRenamed({"doc_id": "b", "text": "text_b"}), "b")
-    return both.select("a", "b", "text_a", "text_b").mapInPandas(run, "a long, b long")
-
-
-def frequent(docs: DataFrame, n_docs: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that are frequent in a bounded sample (ascending), and their counts there."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for text in batch["text"]:
-                yield pd.DataFrame({"shingle": shingles(text, size).view(np.int64)})
+    links = frames.stored(both.select("a", "b", "text_a", "text_b").mapInPandas(run, "a long, b long"), "links")
+    frames.discard(texts)
+    return links
 
-    sample = docs.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(max(1, n_docs // SAMPLE))) == 0)
-    counts = sample.mapInPandas(run, "shingle long").groupBy("shingle").count().filter(F.col("count") >= OFTEN)
-    rows = counts.orderBy(F.desc("count"), "shingle").limit(TOLD).collect()
-    values = np.array([r[0] for r in rows], np.int64).view(np.uint64)
-    order = np.argsort(values)
-    return values[order], np.array([r[1] for r in rows], np.int64)[order]
 
+def confirmed(pairs: DataFrame, sets: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """The links among candidate pairs: by parity bits first, then on full sets."""
+    near = frames.stored(likely(pairs, sets, percent), "likely")
+    links = linked(near, docs, size, percent)
+    frames.discard(near)
+    return links
 
-def prefix(found: np.ndarray, often: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first shingles of a set and their ranks, in one order for all sets: rare ones, then by hash.
-
-    Two sets with `percent` of their union in common share at least that part of either one, so they
-    share a shingle of these prefixes, whatever the order is.
-    """
-    n = len(found)
-    rank = np.zeros(n, np.int64)
-    if len(often):
-        at = np.minimum(np.searchsorted(often, found), len(often) - 1)
-        rank = np.where(often[at] == found, counts[at], 0)
-    order = np.lexsort((found, rank))[: max(0, min(n, n - (percent * n + 99) // 100 + 1))]
-    return found[order], rank[order]
 
+def crossing(heads: DataFrame, groups: DataFrame) -> DataFrame:
+    """key, doc_id, component, n and place of prefix keys that occur in two groups (components) or more.
 
-def shared_prefixes(docs: DataFrame, n_docs: int, size: int, percent: int) -> DataFrame:
-    """key (40 bits of a shingle), doc_id, n, place: prefix rows whose key is frequent or occurs again.
-
-    Frequent keys are kept without a look and dealt in parts, so that none is bound to one task.
+    Frequent keys are looked at in parts, so that none is bound to one task; they pass where a part
+    has two groups, or all parts by their least and greatest group together.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(frequent(docs, n_docs, size))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        often, counts = sent.value
         for batch in batches:
-            ids = batch["doc_id"].to_numpy(np.int64)
-            for k in range(0, len(ids), 500):
-                sets = [shingles(text, size) for text in batch["text"].iloc[k : k + 500]]
-                parts = [prefix(found, often, counts, percent) for found in sets]
-                lengths = np.array([len(p[0]) for p in parts])
-                rank = np.concatenate([p[1] for p in parts])
-                id_ = np.repeat(ids[k : k + 500], lengths)
-                part = (_mixed(id_.view(np.uint64)) % np.uint64(SALTS)).astype(np.int32)
+            for k in range(0, len(batch), 2000):
+                part = batch.iloc[k : k + 2000]
+                lengths = part["keys"].map(len).to_numpy() // 5
+                raw = np.zeros((int(lengths.sum()), 8), np.uint8)
+                raw[:, 3:] = np.frombuffer(b"".join(part["keys"]), np.uint8).reshape(-1, 5)
+                place = frames.ragged(lengths)[1]
+                ids = np.repeat(part["doc_id"].to_numpy(np.int64), lengths)
+                often = place >= np.repeat(part["rare"].to_numpy(np.int64), lengths)
+                salt = (_mixed(ids.view(np.uint64)) % np.uint64(SALTS)).astype(np.int32) + 1
                 yield pd.DataFrame({
-                    "key": (np.concatenate([p[0] for p in parts]) >> np.uint64(24)).astype(np.int64),
-                    "salt": np.where(rank > 0, part + 1, 0).astype(np.int32), "doc_id": id_,
-                    "n": np.repeat([len(x) for x in sets], lengths).astype(np.int32),
-                    "place": frames.ragged(lengths)[1].astype(np.int32),
+                    "key": raw.view(">u8").reshape(-1).astype(np.int64), "salt": np.where(often, salt, 0).astype(np.int32),
+                    "doc_id": ids, "component": np.repeat(part["component"].to_numpy(np.int64), lengths),
+                    "n": np.repeat(part["n_shingles"].to_numpy(np.int32), lengths), "place": place.astype(np.int32),
                 })
 
-    each = docs.filter("doc_id is not null and text is not null").mapInPandas(
-        run, "key long, salt int, doc_id long, n int, place int"
+    placed = heads.select("doc_id", "n_shingles", "keys", "rare").join(groups, "doc_id")
+    each = placed.select("doc_id", F.col("n_shingles").cast("int"), "keys", "rare", "component").mapInPandas(
+        run, "key long, salt int, doc_id long, component long, n int, place int"
     )
-    times = F.count("*").over(Window.partitionBy("key", "salt"))
-    return each.withColumn("times", times).filter("salt > 0 or times > 1").select("key", "doc_id", "n", "place")
-
-
-def crossing(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    """Prefix rows of the keys that occur in two groups or more, with the group (component) of the row."""
-    placed = rows.join(groups, "doc_id")
-    mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    return frames.stored(placed.join(mixed.filter("low < high").select("key"), "key"), "crossing")
+    of_key = Window.partitionBy("key", "salt")
+    seen = each.withColumns({"low": F.min("component").over(of_key), "high": F.max("component").over(of_key)})
+    rows = frames.stored(seen.filter("salt > 0 or low < high"), "prefix-rows")
+    # Parts of a frequent key meet by their least and greatest group only.
+    spans = rows.filter("salt > 0").groupBy("key").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    names = ["key", "doc_id", "component", "n", "place"]
+    often = rows.filter("salt > 0").join(spans.filter("low < high").select("key"), "key", "left_semi").select(*names)
+    out = frames.stored(rows.filter("salt = 0").select(*names).union(often), "crossing")
+    frames.discard(rows)
+    return out
 
 
 def across_groups(rows: DataFrame, others: DataFrame, percent: int) -> DataFrame:
@@ -325,22 +433,30 @@ def merged(groups: DataFrame, links: DataFrame) -> DataFrame:
     return frames.stored(joined.select("doc_id", F.coalesce("lower", "component").alias("component")), "groups")
 
 
-def completed(groups: DataFrame, rows: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+def completed(groups: DataFrame, heads: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """The groups after every link between two of them.
 
     First each document is compared with the centres of its keys, which brings most members of a
     dense group together; then all pairs that still lie in two groups and share a key.
     """
+    rows = crossing(heads, groups)
     for step in ("centres", "all"):
-        rows = crossing(rows.select("key", "doc_id", "n", "place"), groups)
         if rows.isEmpty():
             break
-        pairs = across_groups(rows, centres(rows), percent) if step == "centres" else across_groups(
-            rows, rows, percent
-        )
-        links = frames.stored(linked(frames.stored(pairs, "crossing-pairs"), texts, size, percent), "links")
+        others = centres(rows) if step == "centres" else rows
+        pairs = frames.stored(across_groups(rows, others, percent), "crossing-pairs")
+        links = confirmed(pairs, heads, docs, size, percent)
+        frames.discard(pairs)
         if not links.isEmpty():
             groups = merged(groups, links)
+            if step == "centres":
+                renewed = frames.stored(rows.drop("component").join(groups, "doc_id"), "crossing")
+                spans = renewed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+                still = spans.filter("low < high").select("key")
+                frames.discard(rows)
+                rows = frames.stored(renewed.join(still, "key", "left_semi"), "crossing")
+                frames.discard(renewed)
+    frames.discard(rows)
     return groups
 
 
@@ -360,7 +476,7 @@ def near_duplicates(
     kept, each in the component of its own text. An empty table gives no rows. Ids must be whole numbers.
     """
     docs = frames.pick(df, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
-    rows = frames.stored(profiles(docs, size), "profiles")
+    rows = frames.stored(profiles(docs, size, percent, docs.count()), "profiles")
     classes = frames.stored(
         rows.filter("digest is not null and doc_id is not null")
         .groupBy("digest").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("members")),
@@ -373,23 +489,23 @@ def near_duplicates(
         .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id")),
         "class-members",
     )
-    firsts = classes.select(F.col("class_id").alias("doc_id"), F.col("digest"))
-    heads = rows.select("doc_id", "digest", "signature").join(firsts, ["doc_id", "digest"], "left_semi")
+    # The first document of each class stands for it.
+    later = rows.select("doc_id", "digest").join(several, "digest").filter("doc_id <> class_id").select("doc_id", "digest")
+    heads = frames.stored(
+        rows.filter("digest is not null and doc_id is not null").join(later, ["doc_id", "digest"], "left_anti"), "heads"
+    )
+    frames.discard(rows, classes)
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     pairs = frames.stored(candidates(heads.select("doc_id", "signature"), partitions), "candidates")
-    several_keys = frames.stored(shared_prefixes(docs, rows.count(), size, percent), "prefixes")
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).union(several_keys.select("doc_id")).distinct()
-    # Stored, so that the joins with pairs deal both sides anew and can split frequent documents. The
-    # ids wanted grow with the table: they are never broadcast, not even while they are few.
-    texts = frames.stored(docs.join(wanted.hint("merge"), "doc_id", "left_semi"), "candidate-texts")
-    labels = connected(frames.stored(linked(pairs, texts, size, percent), "links"))
-    ends = labels.withColumnRenamed("node", "doc_id")
+    links = confirmed(pairs, heads, docs, size, percent)
+    ends = connected(links).withColumnRenamed("node", "doc_id")
     groups = frames.stored(
         heads.select("doc_id").distinct().join(ends, "doc_id", "left")
         .select("doc_id", F.coalesce("component", "doc_id").alias("component")),
         "groups",
     )
-    groups = completed(groups, several_keys, texts, size, percent)
+    groups = completed(groups, heads, docs, size, percent)
+    frames.discard(heads, pairs, links)
     labels = groups.filter("doc_id <> component").withColumnRenamed("doc_id", "node")
     return (
         known.join(labels, known["class_id"] == labels["node"], "left")
