@@ -32,7 +32,11 @@ MAX_BITS = 16
 CHECKPOINT = 256
 BLOCK_SYMBOLS = 1 << 19
 #: Distinct chunks of text that a worker remembers before it forgets them all.
-REMEMBERED = 600_000
+REMEMBERED = 1_000_000
+#: Chunks of several texts that are looked up together.
+TOGETHER = 50_000
+#: Bytes of a row's ids that order the rows of one doc_id.
+HEADED = 64
 HEAD, BLOCK = "<4sI", "<4sIQIQ"
 
 
@@ -50,7 +54,7 @@ class Encoder:
     #: Other scripts, and control characters: str.split() takes some of these for white space.
     NOT_PLAIN = re.compile("[\x00-\x08\x0e-\x1f\x7fİ\u0180-\U0010ffff]")
     #: A point, comma or bar that isn't a piece of its own once blanks are put around it.
-    JOINED = re.compile(r"[.,|](?!\s|$)|[^\w\s](?<![.,|])[.,|]")
+    JOINED = re.compile(r"[.,|](?:(?=\S)|(?<=[^\w\s.,|].))")
 
     def __init__(self, path: str, end_id: int):
         self.library = pretokens.tokenizer(path)
@@ -88,11 +92,14 @@ class Encoder:
         self.flat[self.used : self.used + len(ids)] = ids
         self.used += len(ids)
 
-    def plain(self, text: str) -> np.ndarray:
+    def chunks(self, text: str) -> list[str]:
         text = text.lower()
         if self.JOINED.search(text) is None:
             text = text.replace(".", " . ").replace(",", " , ").replace("|", " | ")
-        chunks = text.split()
+        return text.split()
+
+    def looked_up(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all chunks in a row, and how many each has; new chunks are learned once."""
         at = np.fromiter(map(self.number.get, chunks, repeat(-1)), np.int64, len(chunks))
         unknown = np.flatnonzero(at < 0)
         if len(unknown):
@@ -104,12 +111,12 @@ class Encoder:
             at[unknown] = list(map(self.number.__getitem__, fresh))
         sizes = self.sizes[at]
         _, inside = frames.ragged(sizes)
-        return self.flat[np.repeat(self.starts[at], sizes) + inside]
+        return self.flat[np.repeat(self.starts[at], sizes) + inside], sizes
 
     def part(self, text: str) -> np.ndarray:
         if self.NOT_PLAIN.search(text):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
-        return self.plain(text)
+        return self.looked_up(self.chunks(text))[0]
 
     def ids(self, text: str) -> np.ndarray:
         parts, last = [], 0
@@ -119,6 +126,39 @@ class Encoder:
         parts += [self.part(text[last:]), [self.end_id]]
         return np.concatenate([np.asarray(p, np.uint32) for p in parts])
 
+    def batch(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of several texts: plain ones are looked up together."""
+        out: list = [None] * len(texts)
+        begun, chunks, counts = [], [], []
+
+        def look_up() -> None:
+            ids, sizes = self.looked_up(chunks)
+            ends = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum(counts)].tolist() if counts else []
+            last = 0
+            for k, end in zip(begun, ends, strict=True):
+                out[k] = np.append(ids[last:end], np.uint32(self.end_id))
+                last = end
+            begun.clear(), chunks.clear(), counts.clear()
+
+        for k, text in enumerate(texts):
+            if self.NOT_PLAIN.search(text) or self.special.search(text):
+                out[k] = self.ids(text)
+                continue
+            own = self.chunks(text)
+            begun.append(k)
+            counts.append(len(own))
+            chunks += own
+            if len(chunks) > TOGETHER:
+                look_up()
+        look_up()
+        return out
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str, end_id: int) -> Encoder:
+    """One per worker process: what a task has learned serves the next."""
+    return Encoder(path, end_id)
+
 
 def id_width(vocabulary: str, end_id: int) -> int:
     """Bytes that hold any id of the vocabulary: 2 or 4."""
@@ -133,9 +173,9 @@ def token_ids(
     """doc_id and ids (little-endian, `width` bytes each) of every row; a NULL text is an empty one."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(vocabulary, end_id)
         for batch in batches:
-            ids = [encoder.ids(t or "").astype(f"<u{width}").tobytes() for t in batch["text"]]
+            found = encoder(vocabulary, end_id).batch([t or "" for t in batch["text"]])
+            ids = [x.astype(f"<u{width}").tobytes() for x in found]
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "ids": ids})
 
     rows = frames.pick(df, doc_id=id_col, text=text_col)
@@ -240,8 +280,10 @@ def write_tokens(
 ) -> None:
     """Write (doc_id, ids) in ascending doc_id order, NULL ids first; rows of one id by content.
 
-    Ids take `width` bytes each in the frame. `ids` is read three times, so it should be a stored frame. What reaches the driver is one count
-    per id of the vocabulary. A file holds about `tokens_per_file` symbols.
+    Rows that share an id come by their first HEADED bytes, then by a hash, so that an id with very many
+    rows, equal ones too, takes several files. Ids take `width` bytes each in the frame. `ids` is read
+    three times, so it should be a stored frame. What reaches the driver is one count per id of the
+    vocabulary. A file holds about `tokens_per_file` symbols.
     """
 
     def tally(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -280,10 +322,15 @@ def write_tokens(
         if docs:
             yield pd.DataFrame({"frame": [_block(docs, codes, lengths)]})
 
+    keys = [
+        F.col("doc_id"), F.substring("ids", 1, HEADED).alias("head"), F.xxhash64("ids").alias("tie"),
+        F.monotonically_increasing_id().alias("row"),
+    ]
     ordered = (
-        ids.select("doc_id", "ids")
-        .repartitionByRange(files, "doc_id")
-        .sortWithinPartitions("doc_id", "ids")
+        ids.select(*keys, "ids")
+        .repartitionByRange(files, "doc_id", "head", "tie", "row")
+        .sortWithinPartitions("doc_id", "head", "tie", "row")
+        .select("doc_id", "ids")
     )
     # The writer puts the bytes of a value out as they are.
     ordered.mapInPandas(encode, "frame binary").select(F.col("frame").cast("string")).write.option(
@@ -355,8 +402,8 @@ def token_table(
 
     `start` counts the ids of all rows before it in file order, `n_tokens` includes the end id. A
     NULL text is an empty one (the end id alone); rows with a NULL id come first; rows that share an
-    id are all kept, in the order of their ids' bytes; an empty table gives no rows. Ids must be
-    whole numbers.
+    id are all kept, by the bytes of their first ids; an empty table gives no rows. Ids must be whole
+    numbers.
     """
     # The frame is stored and shuffled: no more bytes an id than the vocabulary needs.
     width = id_width(vocabulary, end_id)

@@ -49,6 +49,24 @@ def test_token_encoder_is_the_library():
     encoder, library = token_file.Encoder(WORDS, 2), Tokenizer.from_file(WORDS)
     for text in odd_texts(400) + ["İ x", "A.B,c", "x., y", "<|startoftext|> a"]:
         assert encoder.ids(text).tolist() == library.encode(text, add_special_tokens=False).ids + [2]
+    texts = odd_texts(300, 2) + ["!.", "a!. b", "é|b", ".", "a .b", "w , x|"]
+    expected = [library.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+    assert [x.tolist() for x in token_file.Encoder(WORDS, 2).batch(texts)] == expected
+
+
+def test_token_file_of_one_id(llm, tmp_path):
+    """A third of all rows with one id, most of them equal: they are dealt to several files."""
+    rows = [(7, "same words again")] * 60 + [(7, f"word {k} more") for k in range(40)] + [(k, "x y z") for k in range(200)]
+    folder = str(tmp_path / "hot")
+    out = token_file.token_table(docs(llm, *rows), WORDS, folder, tokens_per_file=200).collect()
+    library = Tokenizer.from_file(WORDS)
+    crc = lambda t: zlib.crc32(np.array(library.encode(t, add_special_tokens=False).ids + [2], "<u4").tobytes())
+    assert sorted((r.doc_id, r.ids_crc32) for r in out) == sorted((k, crc(t)) for k, t in rows)
+    ordered = sorted(out, key=lambda r: r.start)
+    assert [r.doc_id for r in ordered] == sorted(k for k, _ in rows)
+    assert [r.start for r in ordered] == np.cumsum([0, *(r.n_tokens for r in ordered)])[:-1].tolist()
+    files = token_file.read_tokens(llm, folder).filter("doc_id = 7").select("file").distinct().count()
+    assert files > 2
 
 
 def test_code_lengths_and_codec():
