@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from outledger.functions import rules
 from outledger.operators.counterparty import Tables
-from outledger.operators.journal import GL, unshadowed
+from outledger.operators.digest import GL, RECEIVABLE, digest_of
+from outledger.operators.joins import dealt_join
 from outledger.operators.picks import unique_per_key
 
 # Fixed values of the interface.
@@ -65,8 +66,8 @@ def countries_in_run(t: Tables, run: int | None = None) -> DataFrame:
 def rec_relations(t: Tables, run: int | None = None) -> DataFrame:
     """Per run, invoice and relation: the highest reference of its receivable lines."""
     return (
-        of_run(t["je_line"], run)
-        .filter((F.col("je_type") == "REC") & (F.col("brin_op_gl") == GL))
+        digest_of(t, run)
+        .filter(F.col("je_type") == RECEIVABLE)
         .groupBy("run_seq_id", "invoice_prefix_seq_id", "billing_rel_id")
         .agg(F.max("brin_reference_id").alias("brin_reference_id"))
     )
@@ -113,8 +114,8 @@ def invoices_in_run(t: Tables, cp: DataFrame, run: int | None = None) -> DataFra
 def relations_of_invoices(t: Tables, run: int | None = None) -> DataFrame:
     """Unshadowed receivable relations of each run and invoice."""
     return (
-        of_run(t["je_line"], run)
-        .filter((F.col("je_type") == "REC") & (F.col("brin_op_gl") == GL) & unshadowed())
+        digest_of(t, run)
+        .filter((F.col("je_type") == RECEIVABLE) & (F.col("open_lines") > 0))
         .select("run_seq_id", "invoice_prefix_seq_id", "billing_rel_id")
         .distinct()
     )
@@ -128,7 +129,7 @@ def contract_number(invoices: DataFrame, contracts: DataFrame) -> DataFrame:
     known = unique_per_key(contracts, ["reference_id"], "contract_number", "contract number")
     missing = (F.col("file_country") == REPORT_COUNTRY) & F.col("contract_number").isNull()
     return (
-        invoices.join(known, F.col("brin_reference_id") == F.col("reference_id"), "left")
+        dealt_join(invoices, known, {"brin_reference_id": "reference_id"}, spread_by=["invoice_prefix_seq_id"])
         .drop("reference_id")
         .withColumn("contract_missing", F.coalesce(missing, F.lit(False)))
     )
@@ -159,18 +160,12 @@ def missing_contracts(t: Tables, run: int | None = None) -> DataFrame:
     A reference counts as covered where any of its contract rows has a number. All documents are
     reported.
     """
-    day = F.col("created_on").between(
-        F.date_trunc("DAY", "run_date"),
-        F.date_trunc("DAY", "run_date") + F.expr("INTERVAL 86399 SECONDS"),
-    )
     invoices = invoice_countries(t).filter(F.col("file_country") == REPORT_COUNTRY)
     billed = of_run(t["invoice_line"], run).select("run_seq_id", "invoice_prefix_seq_id").distinct()
     key = ["run_seq_id", "invoice_prefix_seq_id"]
     references = (
-        of_run(t["je_line"], run)
-        .filter((F.col("je_type") == "REC") & (F.col("brin_op_gl") == GL))
-        .join(of_run(t["run"], run), "run_seq_id")
-        .filter(day)
+        digest_of(t, run)
+        .filter((F.col("je_type") == RECEIVABLE) & (F.col("day_lines") > 0))
         .select(*key, "brin_reference_id")
         .distinct()
     )

@@ -8,16 +8,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from outledger.functions import rules
 from outledger.operators.counterparty import Tables, as_role
-from outledger.operators.picks import first_per_key
+from outledger.operators.digest import RECEIVABLE, TOTAL, digest_of, in_run_window, unshadowed
+from outledger.operators.joins import HOT_ROWS, dealt_join, hot_keys
+from outledger.operators.pairs import PairView, member_groups
 
 # Fixed values of the interface.
 OUTBOUND_TYPES = ["REC", "TP", "AR"]
 SOURCE_TYPES = ["INC", "INCB", "CRN", "CRNB"]
-GL = "CCL"
-
-
-def unshadowed() -> Column:
-    return F.coalesce("shadow_ind", F.lit("N")) == "N"
 
 
 def tp_flag(gl_accounts: DataFrame) -> DataFrame:
@@ -43,12 +40,6 @@ def product_line(cost_centers: DataFrame) -> DataFrame:
     return cost_centers.groupBy("cost_center").agg(F.min("product_line").alias("product_line"))
 
 
-def in_run_window(created: Column, run_date: Column) -> Column:
-    return created.between(
-        run_date - F.expr("INTERVAL 1 DAY"), run_date + F.expr("INTERVAL 1 DAY")
-    )
-
-
 def outbound_lines(t: Tables, run: int | None = None) -> DataFrame:
     """Lines of the outbound types, unshadowed, with a 3-letter ledger, made around their run."""
     lines = t["je_line"].filter(
@@ -65,14 +56,17 @@ def outbound_lines(t: Tables, run: int | None = None) -> DataFrame:
 
 
 def invoice_facts(t: Tables, first_header: bool = False) -> DataFrame:
-    """Invoices with prefix, header and the total of their HEADER line."""
+    """Invoices with prefix, header and the total of their HEADER line.
+
+    With `first_header` an invoice has one row: the lowest total, and the number of `headers`.
+    """
     header = t["invoice_line"].filter(F.col("inv_line_type") == "HEADER").select(
         "invoice_prefix_seq_id",
         (F.col("tax_comp_amt") + F.col("ntax_comp_amt")).cast("decimal(20,6)").alias("invoice_amount"),
     )
     if first_header:
         header = header.groupBy("invoice_prefix_seq_id").agg(
-            F.min("invoice_amount").alias("invoice_amount")
+            F.min("invoice_amount").alias("invoice_amount"), F.count("*").alias("headers")
         )
     prefix = t["invoice_prefix"].select(
         "invoice_prefix_seq_id",
@@ -92,16 +86,40 @@ def invoice_facts(t: Tables, first_header: bool = False) -> DataFrame:
     return prefix.join(inh, "invoice_prefix_seq_id").join(header, "invoice_prefix_seq_id")
 
 
+RELATION_KEYS = ["invoice_prefix_seq_id", "billing_rel_id"]
+
+
 def vat_lines(t: Tables, one_per_relation: bool = False) -> DataFrame:
-    """VAT journal lines by invoice and relation; all of them, or the one with the lowest id."""
-    keys = ["invoice_prefix_seq_id", "billing_rel_id"]
+    """VAT journal lines by invoice and relation; all of them, or the one with the lowest id and their number."""
     vat = t["je_line"].filter(F.col("je_type") == "VAT").select(
-        *keys,
+        *RELATION_KEYS,
         F.col("je_line_seq_id").alias("vat_line_seq_id"),
         F.col("gl_account").alias("account_vat"),
         F.col("je_line__type_sub_cat").alias("sabrix_tax_type"),
     )
-    return first_per_key(vat, keys, ["vat_line_seq_id"]) if one_per_relation else vat
+    if not one_per_relation:
+        return vat
+    known = vat.dropna(subset=RELATION_KEYS)
+    groups = member_groups(known, RELATION_KEYS, "vat_line_seq_id", ("account_vat", "sabrix_tax_type"))
+    return groups.withColumnRenamed("members", "vat_lines")
+
+
+def vat_pairs(t: Tables, lines: DataFrame) -> PairView:
+    """Lines and the VAT lines of their invoice and relation, as factors."""
+    vat = t["je_line"].filter(F.col("je_type") == "VAT").select(
+        *RELATION_KEYS, F.col("je_line_seq_id").alias("vat_line_seq_id"), F.col("gl_account").alias("account_vat"),
+        F.col("je_line__type_sub_cat").alias("sabrix_tax_type"), F.col("billing_amt").alias("vat_amt"),
+    )
+    return PairView(lines, vat.dropna(subset=RELATION_KEYS), RELATION_KEYS, "vat_line_seq_id")
+
+
+def source_lines(t: Tables) -> DataFrame:
+    """Lines that receivables come from; a stored copy by line id where the caller has one."""
+    if "je_source" in t:
+        return t["je_source"]
+    return t["je_line"].filter(F.col("je_type").isin(SOURCE_TYPES)).select(
+        "je_line_seq_id", "in_je_description", "gl_account", "brin_cost_center", "brin_balancing_segment"
+    )
 
 
 def seller_tax_types(t: Tables) -> DataFrame:
@@ -127,23 +145,21 @@ def enrich(
     seller_tax_type: bool = False,
     carried: tuple[str, ...] = (),
     near: bool = False,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Add relation, invoice, source line, VAT line, account and cost-center facts.
 
     `one_vat_line` keeps one row per journal line: the first VAT line of its invoice and relation
-    and the first HEADER line. Without it a line is repeated for all of them, as in a plain join.
+    and the first HEADER line, and `view_rows`, the rows of the plain join that it stands for. Without
+    it a line is repeated for all of them, as in that join.
+    Lines without a key of a looked-up table pass it by, and keys with `hot_rows` lines or more are
+    dealt in parts (None: not counted, for lines that are few); `lines` is read for that, so it should be stored.
     `carried` names further columns of `lines` to keep. `near` is for a few lines out of a long
     history: the other lines are first cut to those the given ones can meet, so that a left join
     does not shuffle the history.
     """
     c = F.col
-    origin = as_role(
-        t["je_line"].filter(c("je_type").isin(SOURCE_TYPES)).select(
-            "je_line_seq_id", "in_je_description", "gl_account", "brin_cost_center",
-            "brin_balancing_segment",
-        ),
-        "origin",
-    )
+    origin = as_role(source_lines(t), "origin")
     facts = t
     if near:
         invoices = lines.select("invoice_prefix_seq_id").distinct()
@@ -160,23 +176,25 @@ def enrich(
     if seller_tax_type:
         vat = vat.drop("sabrix_tax_type")
         cp = cp.join(seller_tax_types(t), "billing_rel_id", "left")
-    # The origin is looked up for REC lines only. The test is part of the join, so other lines
-    # stay, without an origin.
-    has_origin = (c("src_je_line_seq_id") == c("origin_je_line_seq_id")) & (c("je_type") == "REC")
-    # Relation facts are the widest side and come last, so the earlier shuffles move narrow rows.
+
+    def looked_up(left: DataFrame, right: DataFrame, name: str, other: str, only: Column | None = None) -> DataFrame:
+        hot = None if hot_rows is None else hot_keys(lines, [name], hot_rows)
+        return dealt_join(left, right, {name: other}, hot, ["je_line_seq_id"], only)
+
+    # The origin is looked up for REC lines only; the others stay, without an origin. Relation facts are
+    # the widest side and come late, so the earlier shuffles move narrow rows.
+    sourced = looked_up(lines, origin, "src_je_line_seq_id", "origin_je_line_seq_id", c("je_type") == RECEIVABLE)
     full = (
-        lines.join(origin, has_origin, "left")
-        .join(vat, ["invoice_prefix_seq_id", "billing_rel_id"], "left")
+        sourced.join(vat, RELATION_KEYS, "left")
         .join(invoice_facts(facts, first_header=one_vat_line), "invoice_prefix_seq_id")
         .join(cp, "billing_rel_id")
-        .join(tp_flag(t["gl_account"]), c("gl_account") == c("acct_number"), "left")
-        .join(
-            product_line(t["cost_center"]),
-            c("brin_cost_center") == c("cost_center"),
-            "left",
-        )
-        .join(active_services(t["service"]), c("service_code") == c("code"), "left")
     )
+    full = looked_up(full, tp_flag(t["gl_account"]), "gl_account", "acct_number")
+    full = looked_up(full, product_line(t["cost_center"]), "brin_cost_center", "cost_center")
+    full = looked_up(full, active_services(t["service"]), "service_code", "code")
+    rows_of_view = [
+        (F.greatest(F.coalesce("vat_lines", F.lit(0)), F.lit(1)) * F.col("headers")).alias("view_rows")
+    ] if one_vat_line else []
     entity = [c("je_line_type_cat"), c("je_line__type_sub_cat"), c("je_line_type_id")]
     segments = [c("b_bal_seg"), c("s_bal_seg"), c("origin_brin_balancing_segment")]
     zero = F.lit(0).cast("decimal(12,6)")
@@ -257,6 +275,7 @@ def enrich(
         "sabrix_tax_type",
         "seller_vat_regime",
         "vat_line_seq_id",
+        *rows_of_view,
         *carried,
     )
 
@@ -268,15 +287,19 @@ def outbound_journal(
     other_site: str,
     run: int | None = None,
     seller_tax_type: bool = False,
+    expanded: bool = False,
 ) -> DataFrame:
-    """The whole outbound view: every line, repeated for every VAT line of its relation."""
+    """The outbound view, one row per line: with its first VAT and HEADER line and `view_rows`, the rows it stands for.
+
+    `expanded` gives the plain view instead: every line, repeated for every VAT and HEADER line.
+    """
     return enrich(
-        outbound_lines(t, run), t, cp, pop_site, other_site, seller_tax_type=seller_tax_type,
-        near=run is not None,
+        outbound_lines(t, run), t, cp, pop_site, other_site, one_vat_line=not expanded,
+        seller_tax_type=seller_tax_type, near=run is not None, hot_rows=None,
     )
 
 
-# Columns a representative line carries through the pick; the others are never read.
+# Columns a representative line carries; the others are never read.
 LINE_COLUMNS = [
     "run_seq_id", "invoice_prefix_seq_id", "billing_rel_id", "je_line_seq_id",
     "src_je_line_seq_id", "je_type", "in_sending_gl", "brin_op_gl", "brin_balancing_segment",
@@ -284,22 +307,53 @@ LINE_COLUMNS = [
     "billing_amt", "run_rec_number", "gl_account", "je_line_type_id", "je_line_type_cat",
     "je_line__type_sub_cat", "je_line_type_sub_sub_cat", "je_line_tax_type",
     "je_line_type_interco", "vat_percentage", "tp_percentage", "tp_type", "is_taxable",
-    "in_je_description", "service_code", "biller_run_date",
+    "in_je_description", "service_code",
 ]
 
 
-def representative_lines(
-    lines: DataFrame, je_type: str, keys: list[str], relations: DataFrame | None = None
-) -> DataFrame:
-    """The line with the lowest id per key, of one type, in the interface's ledger.
+def representative_picks(t: Tables, je_type: str, run: int | None = None, relations: DataFrame | None = None) -> DataFrame:
+    """Run, invoice, relation, id of the lowest open line and date of the run: per relation, or per invoice for totals.
+
+    With `relations`, only lines of these billing relations can be picked. Made of the journal's digest,
+    so only numbers are compared.
+    """
+    found = digest_of(t, run).filter((F.col("je_type") == je_type) & F.col("first_line").isNotNull())
+    per_relation = found.groupBy("run_seq_id", *RELATION_KEYS).agg(
+        F.min("first_line").alias("first_line"), F.max("run_date").alias("biller_run_date")
+    )
+    if relations is not None:
+        per_relation = per_relation.join(relations.select("billing_rel_id"), "billing_rel_id", "left_semi")
+    if je_type == TOTAL:
+        lowest = F.min(F.struct("first_line", "billing_rel_id", "biller_run_date")).alias("lowest")
+        per_relation = per_relation.groupBy("run_seq_id", "invoice_prefix_seq_id").agg(lowest).select(
+            "run_seq_id", "invoice_prefix_seq_id", "lowest.*"
+        )
+    return per_relation.select("run_seq_id", *RELATION_KEYS, "first_line", "biller_run_date")
+
+
+def picked_lines(t: Tables, picks: DataFrame, je_type: str) -> DataFrame:
+    """The picked lines of one type with their columns, fetched from the journal after the pick.
 
-    With `relations`, only lines of these billing relations can be picked. The pick per relation
-    comes first, so the join sees one row per relation and not every line.
+    The join is by invoice and relation, as the journal may be stored by these; a line's number is
+    compared by two bounds, which leaves that partitioning as it is.
     """
-    own = lines.filter((F.col("je_type") == je_type) & (F.col("brin_op_gl") == GL)).select(*LINE_COLUMNS)
-    if relations is None:
-        return first_per_key(own, keys, ["je_line_seq_id"])
-    narrow = list(dict.fromkeys(keys + ["billing_rel_id"]))
-    per_relation = first_per_key(own, narrow, ["je_line_seq_id"])
-    known = per_relation.join(relations.select("billing_rel_id"), "billing_rel_id", "left_semi")
-    return known if narrow == keys else first_per_key(known, keys, ["je_line_seq_id"])
+    lines = t["je_line"].filter(F.col("je_type") == je_type).select(*LINE_COLUMNS)
+    chosen = picks.select(
+        *[F.col(k).alias(f"_{k}") for k in RELATION_KEYS], F.col("run_seq_id").alias("_run"), "first_line",
+        "biller_run_date",
+    )
+    on = F.lit(True)
+    for k in RELATION_KEYS:
+        on = on & (F.col(k) == F.col(f"_{k}"))
+    number = F.col("je_line_seq_id")
+    on = on & (number >= F.col("first_line")) & (number <= F.col("first_line"))
+    # Ids are unique in a run; the run is compared in case they aren't across runs.
+    on = on & (F.col("run_seq_id") >= F.col("_run")) & (F.col("run_seq_id") <= F.col("_run"))
+    return lines.join(chosen, on).select(*LINE_COLUMNS, "biller_run_date")
+
+
+def representative_lines(
+    t: Tables, je_type: str, run: int | None = None, relations: DataFrame | None = None
+) -> DataFrame:
+    """The open line with the lowest id of each relation (of each invoice for totals), in the interface's ledger."""
+    return picked_lines(t, representative_picks(t, je_type, run, relations), je_type)

@@ -7,34 +7,38 @@ from pyspark.sql import DataFrame, functions as F
 MONEY = "decimal(20,6)"
 
 
-def rate_rollup(lines: DataFrame) -> DataFrame:
+def rate_rollup(lines: DataFrame, placed: bool = False) -> DataFrame:
     """Item amount, VAT amount and description per invoice, relation and rate.
 
     HEADER lines are left out; other line types keep their rate but add nothing. The description
-    prefers a translated name within each line type, so the first step keeps the type. It combines
-    on the map side; the second step then spreads its few rows by invoice and relation, which the
-    later join with the relation's journal line can use as it is.
+    prefers a translated name within each line type.
+
+    Lines with the same texts are summed first, by a hash aggregate that combines on the map side: the
+    texts are grouping keys there. Only the few different texts of a relation are then compared. That
+    happens where invoice and relation are together, which the later join with the relation's journal
+    line can use as it is. `placed` says that `lines` are stored bucketed by invoice and relation; then
+    nothing is moved at all.
     """
     amount = F.col("tax_comp_amt") + F.col("ntax_comp_amt")
     keys = ["invoice_prefix_seq_id", "brid_billing_rel_id"]
-    by_type = (
-        lines.filter(F.col("inv_line_type") != "HEADER")
-        .filter(F.col("inv_line_type") != "")
-        .groupBy(*keys, "rate_percentage", "inv_line_type")
-        .agg(
-            F.sum(amount).alias("amount"),
-            F.coalesce(F.max("service_name_translated"), F.max("service_desc")).alias("service_desc"),
-        )
-    )
 
     def total(line_type: str):
         zero = F.lit(0).cast(MONEY)
-        own = F.when(F.col("inv_line_type") == line_type, F.col("amount")).otherwise(zero)
-        return F.sum(own).cast(MONEY)
+        return F.sum(F.when(F.col("inv_line_type") == line_type, F.col("amount")).otherwise(zero)).cast(MONEY)
 
+    by_text = (
+        lines.filter(F.col("inv_line_type") != "HEADER")
+        .filter(F.col("inv_line_type") != "")
+        .groupBy(*keys, "rate_percentage", "inv_line_type", "service_name_translated", "service_desc")
+        .agg(F.sum(amount).alias("amount"))
+    )
+    near = by_text if placed else by_text.repartition(*keys)
+    by_type = near.groupBy(*keys, "rate_percentage", "inv_line_type").agg(
+        F.sum("amount").alias("amount"),
+        F.coalesce(F.max("service_name_translated"), F.max("service_desc")).alias("service_desc"),
+    )
     return (
-        by_type.repartition(*keys)
-        .groupBy(*keys, "rate_percentage")
+        by_type.groupBy(*keys, "rate_percentage")
         .agg(
             total("ITEM").alias("item"),
             total("VAT").alias("vat"),
@@ -53,6 +57,15 @@ def ar_totals(je_lines: DataFrame) -> DataFrame:
     )
 
 
+def ar_totals_of(digest: DataFrame) -> DataFrame:
+    """The same totals from the journal's digest."""
+    return (
+        digest.filter(F.col("je_type") == "AR")
+        .groupBy("run_seq_id", "invoice_prefix_seq_id")
+        .agg(F.sum("total").cast(MONEY).alias("ar_total"))
+    )
+
+
 def account_list(accounts: DataFrame) -> DataFrame:
     """The distinct account numbers as rows, whatever their number; membership tests join them."""
     return accounts.select("acct_number").distinct()

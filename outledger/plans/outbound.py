@@ -10,13 +10,15 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from outledger.functions import rules
 from outledger.functions.text import month_text
-from outledger.operators import branches, drivers, journal, numbering, rollup
+from outledger.operators import branches, digest, drivers, journal, numbering, rollup
 from outledger.operators.counterparty import Tables, counterparties
 from outledger.plans import layout
-from outledger.runtime import materialize
+from outledger.runtime import bucketed, materialize
 
 KEY = ["run_seq_id", "invoice_prefix_seq_id"]
 RELATION = KEY + ["billing_rel_id"]
+#: What tables and frames with a row per line or relation are stored by.
+PLACE = ["invoice_prefix_seq_id", "billing_rel_id"]
 
 
 @dataclass(frozen=True)
@@ -25,7 +27,8 @@ class Params:
 
     The two contact sites belong to the deployment and have no default. `same_run` may be set where
     an invoice never spans runs: VAT lines, source lines and invoice lines are then read from the
-    run's own partitions only.
+    run's own partitions only, and an invoice of the run with lines in another run fails the job.
+    `placed` says that invoice lines are stored bucketed by invoice and relation (`place_tables`).
     """
 
     pop_site: str
@@ -40,6 +43,8 @@ class Params:
     local_word_key: tuple[str, str, str] = ("OUTBOUND", "CCL_AR", "CHINESE_CHAR")
     run_type_key: tuple[str, str, str] = ("INTERFACES", "cclar.out", "runtype")
     keep: Callable[[DataFrame, str], DataFrame] = field(default=materialize)
+    keep_by: Callable[[DataFrame, str, list[str]], DataFrame] = field(default=bucketed)
+    placed: bool = False
 
 
 @dataclass(frozen=True)
@@ -80,11 +85,39 @@ def add_lookup(df: DataFrame, look_up: DataFrame, key: tuple[str, str, str], nam
     return df.crossJoin(F.broadcast(value))
 
 
+def place_tables(t: Tables, partition_by: list[str] | None = None) -> Tables:
+    """Journal and invoice lines stored as the job reads them; to be done once per load.
+
+    Journal lines lie in folders by type (and by `partition_by`, such as the run), bucketed by invoice
+    and relation, so that one type is read alone and its joins need no shuffle. The lines that
+    receivables come from are looked up by their number and stored by it, with few columns.
+    """
+    folders = [*(partition_by or []), "je_type"]
+    sources = journal.source_lines(t)
+    own = {
+        "je_line": bucketed(t["je_line"], "je_line", PLACE, folders),
+        "je_source": bucketed(sources, "je_source", ["je_line_seq_id"]),
+        "invoice_line": bucketed(t["invoice_line"], "invoice_line", ["invoice_prefix_seq_id", "brid_billing_rel_id"]),
+    }
+    return ChainMap(own, t)
+
+
 def run_tables(t: Tables, p: Params) -> Tables:
-    """With `same_run`, journal and invoice lines of the run alone."""
+    """With `same_run`, journal and invoice lines of the run alone; an invoice with lines elsewhere is an error."""
     if not p.same_run or p.run is None:
         return t
-    own = {n: drivers.of_run(t[n], p.run) for n in ("je_line", "invoice_line")}
+    own = {}
+    for n in ("je_line", "invoice_line"):
+        own[n] = drivers.of_run(t[n], p.run)
+        invoices = own[n].select("invoice_prefix_seq_id").distinct()
+        elsewhere = t[n].filter(F.col("run_seq_id") != p.run).select("run_seq_id", "invoice_prefix_seq_id")
+        found = elsewhere.join(invoices, "invoice_prefix_seq_id", "left_semi").limit(1).collect()
+        if found:
+            raise ValueError(
+                f"same_run: invoice {found[0]['invoice_prefix_seq_id']} of run {p.run} has {n} rows in run {found[0]['run_seq_id']}"
+            )
+    if "je_source" in t:
+        own["je_source"] = journal.source_lines({"je_line": own["je_line"]})
     return ChainMap(own, t)
 
 
@@ -120,14 +153,16 @@ LINE_FACTS = [
 def line_heads(t: Tables, cp: DataFrame, heads: DataFrame, p: Params) -> DataFrame:
     """Representative lines with all their facts: one REC line per relation, one AR line per invoice.
 
-    Both kinds are picked first and enriched together, so each table is joined once, to a few rows.
+    Both kinds are picked by number from the journal's digest; their columns are fetched for the picked
+    lines only. They are then enriched together, so each table is joined once, to a few rows.
     """
-    lines = journal.outbound_lines(t, p.run)
-    picked = journal.representative_lines(lines, "REC", RELATION).unionByName(
-        journal.representative_lines(lines, "AR", KEY, relations=cp)
+    picked = journal.representative_lines(t, "REC", p.run).unionByName(
+        journal.representative_lines(t, "AR", p.run, relations=cp)
     )
+    # Stored: frequent accounts, centers and services are counted on it.
+    lines = p.keep(picked.join(heads, KEY), "picked")
     facts = journal.enrich(
-        picked.join(heads, KEY), t, cp, p.pop_site, p.other_site, one_vat_line=True,
+        lines, t, cp, p.pop_site, p.other_site, one_vat_line=True,
         seller_tax_type=p.seller_tax_type, carried=tuple(c for c in heads.columns if c not in KEY),
         near=p.run is not None,
     )
@@ -143,7 +178,8 @@ def invoice_amounts(t: Tables, heads: DataFrame, p: Params) -> DataFrame:
     if p.run is not None:
         wanted = heads.select("invoice_prefix_seq_id").distinct()
         lines = lines.join(wanted, "invoice_prefix_seq_id", "left_semi")
-    return rollup.rate_rollup(lines)
+        return rollup.rate_rollup(lines)
+    return rollup.rate_rollup(lines, placed=p.placed)
 
 
 def build_charges(t: Tables, relations: DataFrame, amounts: DataFrame) -> DataFrame:
@@ -164,23 +200,35 @@ def build_charges(t: Tables, relations: DataFrame, amounts: DataFrame) -> DataFr
     ).withColumn("relation_steps", F.sum("steps").over(whole))
 
 
-def number_charges(charges: DataFrame) -> DataFrame:
-    """Add `line_start`: the line numbers of the invoice that come before the charge.
+def relation_offsets(charges: DataFrame) -> DataFrame:
+    """Per relation: the line numbers of its invoice that come before it.
 
     Only one narrow row per relation takes part in the running sum over the invoice.
     """
     totals = charges.groupBy(*RELATION).agg(F.max("relation_steps").alias("relation_steps"))
-    before = numbering.offsets(totals, KEY, "billing_rel_id", "relation_steps")
+    return numbering.offsets(totals, KEY, "billing_rel_id", "relation_steps")
+
+
+def number_charges(charges: DataFrame, before: DataFrame) -> DataFrame:
+    """Add `line_start`: the line numbers of the invoice that come before the charge.
+
+    Charges and offsets lie by invoice and relation; the run is compared by two bounds, so that the
+    join keeps that place.
+    """
+    renamed = before.select(*[F.col(k).alias(f"_{k}") for k in RELATION], "offset")
+    on = (F.col("run_seq_id") >= F.col("_run_seq_id")) & (F.col("run_seq_id") <= F.col("_run_seq_id"))
+    for k in PLACE:
+        on = on & (F.col(k) == F.col(f"_{k}"))
     return (
-        charges.join(before, RELATION)
+        charges.join(renamed, on)
         .withColumn("line_start", F.col("offset") + F.col("rate_start"))
-        .drop("offset", "rate_start", "relation_steps", "steps")
+        .drop("offset", "rate_start", "relation_steps", "steps", *[f"_{k}" for k in RELATION])
     )
 
 
 def rec_records(t: Tables, lines: DataFrame, p: Params) -> DataFrame:
     """One receivable record per invoice that has a receivable-total line."""
-    totals = rollup.ar_totals(drivers.of_run(t["je_line"], p.run))
+    totals = rollup.ar_totals_of(digest.digest_of(t, p.run))
     partner = rules.trading_partner(
         rules.needs_partner(F.col("tp_required")), F.col("partner_segment"), F.col("company_code")
     )
@@ -267,33 +315,44 @@ def trailers_of(t: Tables, made_of: Prepared, p: Params) -> DataFrame:
         .join(errors, key, "left")
         .join(month, "run_seq_id", "left")
     )
+    checked = F.coalesce(F.col("run_month"), no_month)
     run_type = F.when(F.col("site_error"), F.lit("test")).otherwise(F.col("set_run_type"))
     n = F.coalesce("made", F.lit(0).cast("long"))
     return add_lookup(files, t["look_up"], p.run_type_key, "set_run_type").select(
         "run_seq_id",
         "file_country",
-        F.coalesce("run_month", no_month).alias("run_month"),
+        checked.alias("run_month"),
         n.alias("n_rows"),
         run_type.alias("run_type"),
-        layout.trailer_line(F.col("run_month"), n, run_type).alias("line"),
+        layout.trailer_line(checked, n, run_type).alias("line"),
     )
 
 
 def prepare(t: Tables, p: Params) -> Prepared:
     """Countries, invoice heads, relations, receivable rows and numbered charges.
 
-    The five frames that several results read are written once to the checkpoint folder. The
-    counterparties are one of them: invoices, picks and enrichment read the file, and the
-    organization tables are joined once.
+    The frames that several results read are written once to the checkpoint folder. The journal is read
+    in one narrow pass for its digest, which answers references, picks, totals and reports; after that
+    only picked lines, VAT lines and sources are read. Frames with a row per relation are stored by
+    invoice and relation, so that they meet without a shuffle.
     """
+    t = with_digest(t, p)
     cp = p.keep(counterparties(t), "counterparties")
     countries = p.keep(drivers.countries_in_run(t, p.run), "countries")
     heads = p.keep(invoice_heads(t, cp, countries, p.run), "invoices")
-    lines = p.keep(line_heads(t, cp, heads, p), "lines")
+    lines = p.keep_by(line_heads(t, cp, heads, p), "lines", PLACE)
     relations = lines.filter(F.col("je_type") == "REC")
-    charges = p.keep(build_charges(t, relations, invoice_amounts(t, heads, p)), "charges")
-    numbered = number_charges(charges)
-    return Prepared(countries, heads, relations, rec_records(t, lines, p), charges, numbered)
+    charges = p.keep_by(build_charges(t, relations, invoice_amounts(t, heads, p)), "charges", PLACE)
+    offsets = p.keep_by(relation_offsets(charges), "offsets", PLACE)
+    recs = p.keep(rec_records(t, lines, p), "receivables")
+    return Prepared(countries, heads, relations, recs, charges, number_charges(charges, offsets))
+
+
+def with_digest(t: Tables, p: Params) -> Tables:
+    """The tables and the journal's digest, stored."""
+    if "journal_digest" in t:
+        return t
+    return ChainMap({"journal_digest": p.keep_by(digest.journal_digest(t, p.run), "journal_digest", PLACE)}, t)
 
 
 def records_of(t: Tables, made_of: Prepared, p: Params) -> DataFrame:
@@ -307,7 +366,7 @@ def records_of(t: Tables, made_of: Prepared, p: Params) -> DataFrame:
 
 def outbound(t: Tables, p: Params) -> Outbound:
     """Records, trailers, rejects and the missing-contract report of a run, or of all runs."""
-    tables = run_tables(t, p)
+    tables = with_digest(run_tables(t, p), p)
     made_of = prepare(tables, p)
     rejects = rejects_of(tables, made_of, p.run)
     if p.fail_on_rejects:

@@ -51,3 +51,25 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def bucketed(
+    df: DataFrame, name: str, keys: list[str], partition_by: list[str] | None = None, buckets: int | None = None
+) -> DataFrame:
+    """Write a frame once as a table bucketed by `keys`, in folders by `partition_by`, and read it back.
+
+    Joins and aggregates by these keys (and more) need no shuffle afterwards, and filters on a folder
+    column read that folder only. The files lie in the checkpoint folder; the session's catalog holds
+    the name. `buckets` is the number of shuffle partitions by default: with fewer, Spark would shuffle
+    the table again to meet another frame. A bucket is read by one task, so the keys together should
+    be spread: a relation of an invoice is, a run or a country is not.
+    """
+    spark = df.sparkSession
+    number = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"{name.replace('-', '_')}_{uuid.uuid4().hex}"
+    # One task per bucket: each writes one file per folder.
+    writer = df.repartition(number, *keys).write.format("parquet").bucketBy(number, *keys)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.option("path", f"{checkpoint_dir(spark)}/{table}").saveAsTable(table)
+    return spark.table(table)

@@ -12,7 +12,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 from outledger import schemas
-from outledger.runtime import materialize
+from outledger.operators import journal
+from outledger.runtime import bucketed, materialize
 
 DRIVER_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 
@@ -326,6 +327,12 @@ SQL: dict[str, str] = {
         select cast(n_nationkey as bigint) as department_id, n_name as department_name from {nation}""",
 }
 
+#: Tables with a row per line: their bucket columns and folders.
+PLACED = {
+    "je_line": (["invoice_prefix_seq_id", "billing_rel_id"], ["je_type"]),
+    "invoice_line": (["invoice_prefix_seq_id", "brid_billing_rel_id"],),
+}
+
 HELPERS = ["billed", "entry", "settled", "invoice"]
 
 
@@ -352,12 +359,16 @@ class Adapter(dict):
         self.spark, self.folder = spark, folder
 
     def __missing__(self, name: str) -> DataFrame:
-        if name in DRIVER_TABLES:
+        if name == "je_source":
+            df = bucketed(journal.source_lines({"je_line": self["je_line"]}), name, ["je_line_seq_id"])
+        elif name in DRIVER_TABLES:
             df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         else:
             df = self.spark.sql(SQL[name], **{n: self[n] for n in needs(name)})
             if name in schemas.TABLES:
-                df = schemas.normalize_empty(materialize(schemas.typed(df, name), name))
+                typed = schemas.typed(df, name)
+                kept = bucketed(typed, name, *PLACED[name]) if name in PLACED else materialize(typed, name)
+                df = schemas.normalize_empty(kept)
             else:
                 df = materialize(df, name)
         self[name] = df

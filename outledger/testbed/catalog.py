@@ -17,7 +17,7 @@ from outledger.testbed import checks
 from outledger.testbed.adapter import Adapter, billing_tables
 
 # The adapter's data has rejects on purpose.
-PARAMS = job.Params(checks.POP_SITE, checks.OTHER_SITE, fail_on_rejects=False)
+PARAMS = job.Params(checks.POP_SITE, checks.OTHER_SITE, fail_on_rejects=False, placed=True)
 AS_OF = date.fromisoformat(checks.AS_OF)
 RELATION = ["run_seq_id", "invoice_prefix_seq_id", "billing_rel_id"]
 
@@ -61,6 +61,7 @@ def _journal(t: Adapter) -> DataFrame:
 def _parts(t: Adapter) -> job.Prepared:
     """Heads, relations, receivable rows and charges, shared by the queries of a session."""
     if "job" not in t.__dict__:
+        t["je_source"]
         t.job = job.prepare(t, PARAMS)
     return t.job
 
@@ -84,7 +85,7 @@ def _detail_sql(where: str) -> str:
 @query("""select invoice_prefix_seq_id, billing_rel_id, rate_percentage::double as rate_percentage,
     item::double as item, vat::double as vat, service_desc from {rollup}""")
 def rate_rollup(t):
-    return rollup.rate_rollup(t["invoice_line"])
+    return rollup.rate_rollup(t["invoice_line"], placed=True)
 
 
 @query("select run_seq_id, country_id, file_country from {countries}")
@@ -126,7 +127,7 @@ def representative_relations(t):
         where je_type = 'REC' and brin_op_gl = 'CCL' and coalesce(shadow_ind, 'N') = 'N')
     where rn = 1""")
 def representative_line(t):
-    picked = journal.representative_lines(journal.outbound_lines(t), "REC", RELATION)
+    picked = journal.representative_lines(t, "REC")
     return picked.select(*RELATION, "je_line_seq_id", "gl_account", "billing_amt")
 
 
@@ -148,25 +149,38 @@ def journal_run_window(t):
     )
 
 
-@query("""select je_line_seq_id, vat_line_seq_id, je_type, bex_je_description, orig_gl_account,
-    seller_cost_center, product_line, product_line_tp, sbx_commodity_code from {v}""")
+@query("""select je_line_seq_id, min(vat_line_seq_id) as vat_line_seq_id, count(*) as view_rows, je_type,
+    bex_je_description, orig_gl_account, seller_cost_center, product_line, product_line_tp, sbx_commodity_code
+    from {v} group by all""")
 def conditional_on_left_join(t):
     return _journal(t).select(
-        "je_line_seq_id", "vat_line_seq_id", "je_type", "bex_je_description", "orig_gl_account",
+        "je_line_seq_id", "vat_line_seq_id", "view_rows", "je_type", "bex_je_description", "orig_gl_account",
         "seller_cost_center", "product_line", "product_line_tp", "sbx_commodity_code",
     )
 
 
-@query("""select je_line_seq_id, vat_line_seq_id, account_vat, sabrix_tax_type
-    from (from {je_line} where je_type = 'REC') left join {vat_lines}
-        using (invoice_prefix_seq_id, billing_rel_id)""")
+@query("""select l.je_line_seq_id, count(v.vat_line_seq_id) as members, count(*) as pairs,
+    min(v.vat_line_seq_id) as vat_line_seq_id, arg_min({'a': v.account_vat}, v.vat_line_seq_id).a as account_vat,
+    arg_min({'a': v.sabrix_tax_type}, v.vat_line_seq_id).a as sabrix_tax_type
+    from (from {je_line} where je_type = 'REC') l left join {vat_lines} v
+        using (invoice_prefix_seq_id, billing_rel_id) group by all""")
 def self_join_vat_line(t):
     rec = t["je_line"].filter(F.col("je_type") == "REC").select(
         "invoice_prefix_seq_id", "billing_rel_id", "je_line_seq_id"
     )
-    return rec.join(
-        journal.vat_lines(t), ["invoice_prefix_seq_id", "billing_rel_id"], "left"
-    ).drop("invoice_prefix_seq_id", "billing_rel_id")
+    rows = journal.vat_pairs(t, rec).rows(("account_vat", "sabrix_tax_type"))
+    return rows.drop("invoice_prefix_seq_id", "billing_rel_id")
+
+
+@query("""select l.in_sending_gl, l.vat_percentage::double as vat_percentage, count(*) as pairs,
+    sum(l.billing_amt)::double as billing_amt, sum(v.billing_amt)::double as vat_amt
+    from (from {je_line} where je_type = 'REC') l left join (from {je_line} where je_type = 'VAT') v
+        using (invoice_prefix_seq_id, billing_rel_id) group by all""")
+def vat_pair_totals(t):
+    rec = t["je_line"].filter(F.col("je_type") == "REC").select(
+        "invoice_prefix_seq_id", "billing_rel_id", "in_sending_gl", "vat_percentage", "billing_amt"
+    )
+    return journal.vat_pairs(t, rec).totals(["in_sending_gl", "vat_percentage"], ("billing_amt",), ("vat_amt",))
 
 
 @query("""select * replace (consumption_per::double as consumption_per,
@@ -183,7 +197,9 @@ def primary_contacts(t):
 @query("""select * replace (original_amt::double as original_amt, invoice_amount::double as invoice_amount,
     strftime(biller_run_date, '%Y-%m-%d %H:%M:%S') as biller_run_date,
     vat_percentage::double as vat_percentage, tp_percentage::double as tp_percentage,
-    consumption_per::double as consumption_per, max_unit_price::double as max_unit_price) from {v}""")
+    consumption_per::double as consumption_per, max_unit_price::double as max_unit_price),
+    count(*) over (partition by je_line_seq_id, run_seq_id) as view_rows from {v}
+    qualify row_number() over (partition by je_line_seq_id, run_seq_id order by vat_line_seq_id, invoice_amount) = 1""")
 def outbound_journal(t):
     return _journal(t)
 

@@ -56,7 +56,7 @@ def test_run_window_and_view_fan_out(rows, small):
     t = small | {"je_line": lines.union(edge).union(over).union(vat).union(hidden).union(tp)}
     seen = [r.je_line_seq_id for r in journal.outbound_lines(t).filter("je_type = 'REC'").collect()]
     assert sorted(seen) == [1, 11, 101, 111]
-    view = journal.outbound_journal(t, counterparties(t), "pop", "other").collect()
+    view = journal.outbound_journal(t, counterparties(t), "pop", "other", expanded=True).collect()
     rec = [r for r in view if r.je_type == "REC"]
     assert len(rec) == 8 and {r.orig_gl_account for r in rec} == {"ORIG"}
     others = [r for r in view if r.je_type != "REC"]
