@@ -14,6 +14,8 @@ from outledger.llm.components import connected
 
 #: Trees and hash values per tree: a pair is a candidate where it shares SHORTEST values or more.
 TREES, DEPTH, SHORTEST = 20, 7, 3
+#: Trees looked at first; the others then look for pairs of different groups only.
+FIRST_TREES = 3
 #: Earlier rows of the sorted order that each row is compared with, besides the heads of its regions.
 WINDOW = 3
 #: Documents whose shingles are counted (every SHARE-th, at least SAMPLE), the count from which a shingle
@@ -176,8 +178,10 @@ def profiles(docs: DataFrame, size: int, percent: int, n_docs: int) -> DataFrame
     )
 
 
-def _neighbours(ids: np.ndarray, trees: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Candidate pairs of rows in sorted order: close rows, and the heads of shared regions.
+def _neighbours(
+    ids: np.ndarray, groups: np.ndarray, trees: np.ndarray, keys: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Candidate pairs of rows of different groups in sorted order: close rows, and the heads of shared regions.
 
     A region of depth d is a run of rows with the same first d values. A row is paired with the rows
     just before it and with the first row of its region at each depth from SHORTEST to the longest
@@ -200,8 +204,9 @@ def _neighbours(ids: np.ndarray, trees: np.ndarray, keys: np.ndarray) -> tuple[n
                 rows = np.flatnonzero(at - head >= back)
                 left.append(rows - back)
                 right.append(rows)
-    a, b = ids[np.concatenate(left)], ids[np.concatenate(right)]
-    keep = a != b
+    left, right = np.concatenate(left), np.concatenate(right)
+    keep = groups[left] != groups[right]
+    a, b = ids[left], ids[right]
     return np.minimum(a, b)[keep], np.maximum(a, b)[keep]
 
 
@@ -209,14 +214,15 @@ def _neighbours(ids: np.ndarray, trees: np.ndarray, keys: np.ndarray) -> tuple[n
 CHUNK = 50_000
 
 
-def _tree_rows(batch: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _tree_rows(batch: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     raw = np.frombuffer(b"".join(batch["prefix"]), ">u2").reshape(len(batch), DEPTH)
-    return batch["doc_id"].to_numpy(np.int64), batch["tree"].to_numpy(np.int64), raw.astype(np.uint16)
+    numbers = (batch[c].to_numpy(np.int64) for c in ("doc_id", "component", "tree"))
+    return *numbers, raw.astype(np.uint16)
 
 
-def _carried(ids, trees, keys) -> np.ndarray:
+def _carried(trees: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Rows that later ones may be paired with: the open regions' heads and the last few rows."""
-    last = len(ids) - 1
+    last = len(trees) - 1
     open_ = np.flatnonzero(trees == trees[last])
     out = set(range(max(0, last - WINDOW + 1), last + 1))
     for d in range(SHORTEST, DEPTH + 1):
@@ -225,18 +231,18 @@ def _carried(ids, trees, keys) -> np.ndarray:
     return np.array(sorted(out))
 
 
-def candidates(rows: DataFrame, partitions: int) -> DataFrame:
-    """Distinct pairs a < b that are neighbours in the sorted order of a tree.
+def candidates(rows: DataFrame, partitions: int, first: int = 0, last: int = TREES) -> DataFrame:
+    """Distinct pairs a < b of different components that are neighbours in the sorted order of a tree.
 
-    `rows` (doc_id, signature) has one row per distinct shingle set. The orders are dealt by range,
-    document id included, so that no region is bound to one task. Each task also hands out its first
-    and last rows; these few are compared across the task borders.
+    `rows` (doc_id, component, signature) has one row per distinct shingle set; trees `first` to `last` - 1
+    are looked at. The orders are dealt by range, document id included, so that no region is bound to one
+    task. Each task also hands out its first and last rows; these few are compared across the task borders.
     """
     trees = F.transform(
-        F.sequence(F.lit(0), F.lit(TREES - 1)),
+        F.sequence(F.lit(first), F.lit(last - 1)),
         lambda t: F.struct(t.alias("tree"), F.substring("signature", t * (2 * DEPTH) + 1, F.lit(2 * DEPTH)).alias("prefix")),
     )
-    each = rows.select("doc_id", F.inline(trees))
+    each = rows.select("doc_id", "component", F.inline(trees))
     ordered = each.repartitionByRange(partitions, "tree", "prefix", "doc_id").sortWithinPartitions(
         "tree", "prefix", "doc_id"
     )
@@ -245,24 +251,24 @@ def candidates(rows: DataFrame, partitions: int) -> DataFrame:
         kept, edge = None, []
         for batch in batches:
             for k in range(0, len(batch), CHUNK):
-                ids, trees, keys = _tree_rows(batch.iloc[k : k + CHUNK])
+                own = _tree_rows(batch.iloc[k : k + CHUNK])
                 if kept is None:
-                    edge.append((ids[:WINDOW], trees[:WINDOW], keys[:WINDOW]))
+                    edge.append(tuple(x[:WINDOW] for x in own))
                 else:
-                    ids, trees, keys = (np.concatenate(x) for x in zip(kept, (ids, trees, keys), strict=True))
-                a, b = _neighbours(ids, trees, keys)
-                yield pd.DataFrame({"a": a, "b": b, "tree": None, "prefix": None}).drop_duplicates()
-                left = _carried(ids, trees, keys)
-                kept = ids[left], trees[left], keys[left]
+                    own = tuple(np.concatenate(x) for x in zip(kept, own, strict=True))
+                a, b = _neighbours(*own)
+                yield pd.DataFrame({"a": a, "b": b, "component": None, "tree": None, "prefix": None}).drop_duplicates()
+                left = _carried(own[2], own[3])
+                kept = tuple(x[left] for x in own)
         if kept is not None:
             edge.append(kept)
-            ids, trees, keys = (np.concatenate(x) for x in zip(*edge, strict=True))
+            ids, groups, trees, keys = (np.concatenate(x) for x in zip(*edge, strict=True))
             yield pd.DataFrame({
-                "a": ids, "b": ids, "tree": trees, "prefix": [k.astype(">u2").tobytes() for k in keys],
+                "a": ids, "b": ids, "component": groups, "tree": trees, "prefix": [k.astype(">u2").tobytes() for k in keys],
             }).drop_duplicates()
 
     found = frames.stored(
-        ordered.mapInPandas(run, "a long, b long, tree int, prefix binary"), "forest"
+        ordered.mapInPandas(run, "a long, b long, component long, tree int, prefix binary"), "forest"
     )
     inner = found.filter("tree is null").select("a", "b")
 
@@ -274,9 +280,11 @@ def candidates(rows: DataFrame, partitions: int) -> DataFrame:
             yield pd.DataFrame({"a": a, "b": b})
 
     # A few rows per task of the step before, whatever the size of the table.
-    edges = found.filter("tree is not null").select("a", "tree", "prefix").distinct()
+    edges = found.filter("tree is not null").select("a", "component", "tree", "prefix").distinct()
     border = edges.coalesce(1).sortWithinPartitions("tree", "prefix", "a").mapInPandas(across, "a long, b long")
-    return inner.unionByName(border).distinct()
+    pairs = frames.stored(inner.unionByName(border).distinct(), "candidates")
+    frames.discard(found)
+    return pairs
 
 
 def likely(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -364,8 +372,9 @@ def confirmed(pairs: DataFrame, sets: DataFrame, docs: DataFrame, size: int, per
 
 
 def crossing(heads: DataFrame, groups: DataFrame) -> DataFrame:
-    """key, doc_id, component, n and place of prefix keys that occur in two groups (components) or more.
+    """key, doc_id, component, n, place and shared of prefix keys that occur in two groups (components) or more.
 
+    `shared` is the number of such keys of the document.
     Frequent keys are looked at in parts, so that none is bound to one task; they pass where a part
     has two groups, or all parts by their least and greatest group together.
     """
@@ -398,28 +407,52 @@ def crossing(heads: DataFrame, groups: DataFrame) -> DataFrame:
     spans = rows.filter("salt > 0").groupBy("key").agg(F.min("low").alias("low"), F.max("high").alias("high"))
     names = ["key", "doc_id", "component", "n", "place"]
     often = rows.filter("salt > 0").join(spans.filter("low < high").select("key"), "key", "left_semi").select(*names)
-    out = frames.stored(rows.filter("salt = 0").select(*names).union(often), "crossing")
+    out = frames.stored(_counted(rows.filter("salt = 0").select(*names).union(often)), "crossing")
     frames.discard(rows)
     return out
 
 
-def across_groups(rows: DataFrame, others: DataFrame, percent: int) -> DataFrame:
+def _counted(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("shared", F.count("*").over(Window.partitionBy("doc_id")).cast("int"))
+
+
+def across_groups(rows: DataFrame, others: DataFrame, percent: int, whole: bool) -> DataFrame:
     """Distinct pairs a < b of a key, of two groups, that can have enough in common.
 
-    Shingles before the shared one can only meet shingles before it, and likewise behind it.
+    Shingles before the shared one can only meet shingles before it, and likewise behind it. Of two
+    sets, the keys of the prefix that ends first are in the other set only where they are in its prefix: so
+    the keys that set shares with no other group, and those it doesn't share with this partner, are
+    lacking. Which of the two ends first isn't looked at; the weaker bound counts. `whole` says that
+    `others` has all rows of the keys, so that the keys that a pair shares can be counted.
     """
-    other = others.select("key", *[F.col(c).alias(f"_{c}") for c in ("doc_id", "component", "n", "place")])
-    most = F.least("place", "_place") + F.least(F.col("n") - F.col("place"), F.col("_n") - F.col("_place"))
-    enough = most.cast("long") * (100 + percent) >= (F.col("n").cast("long") + F.col("_n")) * percent
-    pairs = rows.join(other, "key").filter((F.col("component") != F.col("_component")) & enough)
-    return pairs.select(F.least("doc_id", "_doc_id").alias("a"), F.greatest("doc_id", "_doc_id").alias("b")).distinct()
+    n = F.col("n").cast("long")
+    length = F.greatest(F.lit(0), F.least(n, n - F.ceil(n * percent / 100) + 1))
+    sized = lambda df: df.withColumns({"rest": n - length, "most": n - F.greatest(F.lit(0), length - F.col("shared"))})
+    names = ("doc_id", "component", "n", "place", "rest", "most")
+    own = sized(rows).select("key", *names)
+    other = sized(others).select("key", *[F.col(c).alias(f"_{c}") for c in names])
+    between = F.least("place", "_place") + F.least(F.col("n") - F.col("place"), F.col("_n") - F.col("_place"))
+    total = n + F.col("_n")
+    reach = F.least(between.cast("long"), F.greatest("most", "_most"))
+    pairs = own.join(other, "key").filter(
+        (F.col("component") != F.col("_component")) & (reach * (100 + percent) >= total * percent)
+    ).select(
+        F.least("doc_id", "_doc_id").alias("a"), F.greatest("doc_id", "_doc_id").alias("b"), "key",
+        total.alias("total"), F.greatest("rest", "_rest").alias("rest"),
+    )
+    if not whole:
+        return pairs.select("a", "b").distinct()
+    # Each shared key comes twice, once from either side.
+    counted = pairs.groupBy("a", "b").agg(
+        F.ceil(F.count("*") / 2).alias("n_shared"), F.max("total").alias("total"), F.max("rest").alias("rest")
+    )
+    return counted.filter((F.col("rest") + F.col("n_shared")) * (100 + percent) >= F.col("total") * percent).select("a", "b")
 
 
 def centres(rows: DataFrame) -> DataFrame:
     """One row of each key: of the document that shares the most keys."""
-    shared = rows.groupBy("doc_id").agg(F.count("*").alias("shared"))
     best = F.max(F.struct("shared", "doc_id", "component", "n", "place")).alias("best")
-    return rows.join(shared, "doc_id").groupBy("key").agg(best).select("key", "best.*").drop("shared")
+    return rows.groupBy("key").agg(best).select("key", "best.*")
 
 
 def merged(groups: DataFrame, links: DataFrame) -> DataFrame:
@@ -444,17 +477,17 @@ def completed(groups: DataFrame, heads: DataFrame, docs: DataFrame, size: int, p
         if rows.isEmpty():
             break
         others = centres(rows) if step == "centres" else rows
-        pairs = frames.stored(across_groups(rows, others, percent), "crossing-pairs")
+        pairs = frames.stored(across_groups(rows, others, percent, step == "all"), "crossing-pairs")
         links = confirmed(pairs, heads, docs, size, percent)
         frames.discard(pairs)
         if not links.isEmpty():
             groups = merged(groups, links)
             if step == "centres":
-                renewed = frames.stored(rows.drop("component").join(groups, "doc_id"), "crossing")
+                renewed = frames.stored(rows.drop("component", "shared").join(groups, "doc_id"), "crossing")
                 spans = renewed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
                 still = spans.filter("low < high").select("key")
                 frames.discard(rows)
-                rows = frames.stored(renewed.join(still, "key", "left_semi"), "crossing")
+                rows = frames.stored(_counted(renewed.join(still, "key", "left_semi")), "crossing")
                 frames.discard(renewed)
     frames.discard(rows)
     return groups
@@ -496,7 +529,8 @@ def near_duplicates(
     )
     frames.discard(rows, classes)
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pairs = frames.stored(candidates(heads.select("doc_id", "signature"), partitions), "candidates")
+    rows = heads.select("doc_id", "signature", F.col("doc_id").alias("component"))
+    pairs = candidates(rows, partitions, 0, FIRST_TREES)
     links = confirmed(pairs, heads, docs, size, percent)
     ends = connected(links).withColumnRenamed("node", "doc_id")
     groups = frames.stored(
@@ -504,6 +538,11 @@ def near_duplicates(
         .select("doc_id", F.coalesce("component", "doc_id").alias("component")),
         "groups",
     )
+    frames.discard(pairs, links)
+    pairs = candidates(heads.select("doc_id", "signature").join(groups, "doc_id"), partitions, FIRST_TREES)
+    links = confirmed(pairs, heads, docs, size, percent)
+    if not links.isEmpty():
+        groups = merged(groups, links)
     groups = completed(groups, heads, docs, size, percent)
     frames.discard(heads, pairs, links)
     labels = groups.filter("doc_id <> component").withColumnRenamed("doc_id", "node")
