@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from outledger.llm import frames
 from outledger.llm.components import connected
+from outledger.llm.membership import maybe_in, mixed
 
 #: Trees and hash values per tree: a pair is a candidate where it shares SHORTEST values or more.
 TREES, DEPTH, SHORTEST = 20, 7, 3
@@ -21,8 +22,6 @@ WINDOW = 3
 #: Documents whose shingles are counted (every SHARE-th, at least SAMPLE), the count from which a shingle
 #: is frequent, the most frequent ones told to all tasks, and the parts into which each of these is dealt.
 SHARE, SAMPLE, OFTEN, TOLD, SALTS = 16, 4_000, 3, 400_000, 32
-#: Most bits of the filter that keeps texts of no pair from being moved.
-FILTER_BITS = 1 << 28
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 SPACES = np.zeros(256, bool)
@@ -31,13 +30,6 @@ LOWERED = np.arange(256, dtype=np.uint64)
 LOWERED[ord("A") : ord("Z") + 1] += 32
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    """The splitmix64 finaliser."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def _powers(n: int, base: np.uint64) -> np.ndarray:
     return np.cumprod(np.full(n, base, np.uint64)) if n else np.empty(0, np.uint64)
 
@@ -58,7 +50,7 @@ def word_hashes(text: str) -> np.ndarray:
     longest = int(lengths.max())
     powers = _POWERS if longest <= len(_POWERS) else _powers(longest, _POWERS[0])
     terms = (LOWERED[raw[word]] + np.uint64(1)) * powers[inside]
-    return _mixed(np.add.reduceat(terms, offsets) ^ (lengths.astype(np.uint64) << np.uint64(48)))
+    return mixed(np.add.reduceat(terms, offsets) ^ (lengths.astype(np.uint64) << np.uint64(48)))
 
 
 def shingles(text: str | None, size: int = 5) -> np.ndarray:
@@ -70,7 +62,7 @@ def shingles(text: str | None, size: int = 5) -> np.ndarray:
     out = np.zeros(len(words) - width + 1, np.uint64)
     for k in range(width):
         out = out * MULTIPLIER + words[k : k + len(out)]
-    return np.unique(_mixed(out + np.uint64(width)))
+    return np.unique(mixed(out + np.uint64(width)))
 
 
 def _permutations(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -310,35 +302,10 @@ def likely(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _places(ids: np.ndarray, bits: int) -> np.ndarray:
-    return (_mixed(ids.astype(np.int64).view(np.uint64)) % np.uint64(bits)).astype(np.int64)
-
-
 def texts_of(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The texts of the documents in pairs, and of a few others.
-
-    The ids pass through a bitmap of bounded size that every task gets, so that only texts that are
-    wanted move, without moving all of them to meet the ids. A full bitmap lets more texts pass.
-    """
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    bits = max(1 << 16, min(FILTER_BITS, 1 << (16 * ids.count()).bit_length()))
-
-    def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            place = np.unique(_places(batch["doc_id"].to_numpy(), bits))
-            yield pd.DataFrame({"word": place >> 6, "mask": np.int64(1) << (place & 63)})
-
-    words = ids.mapInPandas(mark, "word long, mask long").groupBy("word").agg(F.bit_or("mask").alias("mask")).toPandas()
-    bitmap = np.zeros(bits >> 6, np.int64)
-    bitmap[words["word"].to_numpy(np.int64)] = words["mask"].to_numpy(np.int64)
-    sent = docs.sparkSession.sparkContext.broadcast(bitmap)
-
-    @F.pandas_udf("boolean")
-    def marked(id_: pd.Series) -> pd.Series:
-        place = _places(id_.to_numpy(), bits)
-        return pd.Series(sent.value[place >> 6] >> (place & 63) & 1 == 1)
-
-    return docs.filter("doc_id is not null").filter(marked("doc_id"))
+    """The texts of the documents in pairs, and of a few others."""
+    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b"))
+    return docs.filter(maybe_in(ids, "doc_id"))
 
 
 def linked(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -389,7 +356,7 @@ def crossing(heads: DataFrame, groups: DataFrame) -> DataFrame:
                 place = frames.ragged(lengths)[1]
                 ids = np.repeat(part["doc_id"].to_numpy(np.int64), lengths)
                 often = place >= np.repeat(part["rare"].to_numpy(np.int64), lengths)
-                salt = (_mixed(ids.view(np.uint64)) % np.uint64(SALTS)).astype(np.int32) + 1
+                salt = (mixed(ids.view(np.uint64)) % np.uint64(SALTS)).astype(np.int32) + 1
                 yield pd.DataFrame({
                     "key": raw.view(">u8").reshape(-1).astype(np.int64), "salt": np.where(often, salt, 0).astype(np.int32),
                     "doc_id": ids, "component": np.repeat(part["component"].to_numpy(np.int64), lengths),

@@ -7,7 +7,7 @@ import zlib
 import numpy as np
 import pytest
 
-from outledger.llm import hard_negatives, quality, queries, runs
+from outledger.llm import hard_negatives, membership, quality, queries, runs
 
 SCHEMA = "doc_id long, text string, score double, predicted int, n_runs long, fold int"
 
@@ -266,3 +266,23 @@ def test_large_components(llm):
     assert sorted(map(tuple, got)) == plain_negatives(data, [d for d in data if d[0] % 10 == 0])
     with pytest.raises(OverflowError):
         hard_negatives.products(np.array([[2.0**40]]), np.array([[2.0**40]]))
+
+
+# ---------------------------------------------------------------- membership
+
+
+def test_membership(llm):
+    rng = random.Random(3)
+    rows = [(rng.choice([None, *range(500)]), f"t{k}") for k in range(2000)]
+    ids = [None, *rng.sample(range(-50, 600), 200)]
+    df = llm.createDataFrame(rows, "doc_id long, text string")
+    gone = llm.createDataFrame([(i,) for i in ids], "doc_id long")
+    wanted = sorted((r for r in rows if r[0] is None or r[0] not in ids), key=repr)
+    # A bitmap that is nearly full changes nothing but what is moved.
+    for bits in (membership.MOST_BITS, 1 << 6):
+        assert sorted(map(tuple, membership.without(df, gone, "doc_id", bits).collect()), key=repr) == wanted
+        kept = df.filter(membership.maybe_in(gone, "doc_id", bits)).collect()
+        assert {r.doc_id for r in kept} >= {k for k, _ in rows if k in ids and k is not None}
+        assert all(r.doc_id is not None for r in kept)
+    assert membership.without(df, gone.limit(0), "doc_id").count() == 2000
+    assert membership.without(df.limit(0), gone, "doc_id").count() == 0
