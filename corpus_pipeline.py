@@ -7,7 +7,7 @@ import uuid
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from outledger.llm import decontamination, mixing, near_duplicates, token_file, toxicity
+from outledger.llm import decontamination, membership, mixing, near_duplicates, token_file, toxicity
 from outledger.llm.frames import ship_package, stored, table
 from outledger.runtime import checkpoint_dir
 
@@ -27,8 +27,15 @@ def numbered(docs: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row, that with the smallest id, of each group of near duplicates; rows with a NULL id stay."""
+    """One row, that with the smallest id, of each group of near duplicates; rows with a NULL id stay.
+
+    Where ids are missing or shared, rows are told apart by a number of their own.
+    """
     ship_package(spark)
+    unclear = docs.groupBy("doc_id").count().filter("doc_id is null or count > 1")
+    if unclear.isEmpty():
+        copies = near_duplicates.near_duplicates(docs).filter("not kept").select("doc_id")
+        return membership.without(docs, copies, "doc_id").select(*DOCUMENTS)
     rows = numbered(docs)
     # Compared by row number; rows without an id are linked with nothing.
     own = rows.select("text", F.when(F.col("doc_id").isNotNull(), F.col("_row")).alias("_row"))
@@ -36,8 +43,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     members = stored(rows.select("_row", "doc_id").join(found, "_row"), "members")
     firsts = members.groupBy("component_id").agg(F.count("*").alias("members"), F.min(F.struct("doc_id", "_row")).alias("first"))
     copies = members.join(firsts.filter("members > 1"), "component_id").filter("_row <> first._row").select("_row")
-    # Copies grow with the table: dealt by row at every size.
-    return rows.join(stored(copies, "copies").hint("merge"), "_row", "left_anti").select(*DOCUMENTS)
+    return membership.without(rows, copies, "_row").select(*DOCUMENTS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
