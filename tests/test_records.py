@@ -1,5 +1,8 @@
 """Records of hand-made invoices, column by column."""
 
+import hashlib
+import json
+import random
 from dataclasses import replace
 from datetime import date
 from decimal import Decimal as D
@@ -10,7 +13,8 @@ from pyspark.sql import functions as F
 from billing import COUNTRIES, RUN, world
 from outledger.plans import outbound as job
 from outledger.plans.layout import comma_count
-from outledger.sources.files import write_outbound
+from outledger.runtime import materialize
+from outledger.sources.files import with_line_numbers, write_outbound
 
 P = job.Params("pop.site", "other.site")
 
@@ -145,14 +149,69 @@ def test_files_and_control_totals(tables, made_of, records, tmp_path):
         expected[r.file_country].append(end)
     frame = job.records_of(tables, made_of, P)
     assert frame.filter(comma_count(F.col("line")) != 95).count() == 0
-    write_outbound(frame, trailers, "AR", date(2020, 5, 6), str(tmp_path / "out"), 6)
-    split = 0
+    out = tmp_path / "out"
+    made = write_outbound(frame, trailers, "AR", date(2020, 5, 6), str(out), part_lines=4).collect()
+    parts = {(r.file, r.file_part): r for r in made}
     for country, text in expected.items():
-        folder = tmp_path / "out" / f"run_seq_id={RUN}" / f"file=AR.{country}-06May20"
-        parts = sorted(folder.glob("part-*"))
-        split += len(parts) > 1
-        assert [x for p in parts for x in p.read_text().splitlines()] == text
-    assert split
+        name = f"AR.{country}-06May20"
+        own = [parts.pop((name, n)) for n in range(-(-len(text) // 4))]
+        for n, r in enumerate(own):
+            (file,) = (out / f"run_seq_id={RUN}" / f"file={name}" / f"file_part={n}").glob("part-*")
+            assert file.read_text().splitlines() == text[4 * n : 4 * n + 4]
+            assert (r.first_line, r.lines) == (4 * n + 1, len(text[4 * n : 4 * n + 4]))
+            assert r.sha256 == hashlib.sha256(file.read_bytes()).hexdigest() and r.bytes == file.stat().st_size
+    assert not parts
+    kept = [json.loads(x) for f in sorted((tmp_path / "out.manifest").glob("part-*")) for x in f.read_text().splitlines()]
+    assert [(r["file"], r["file_part"], r["sha256"]) for r in kept] == sorted((r.file, r.file_part, r.sha256) for r in made)
+
+
+def test_wrong_control_totals_fail(tables, made_of, tmp_path):
+    frame, trailers = job.records_of(tables, made_of, P), job.trailers_of(tables, made_of, P)
+    day, us = date(2020, 5, 6), F.col("file_country") == "US"
+    cases = {
+        "n_rows": (frame.filter(~(us & (F.col("kind") == "TAX"))), trailers),
+        "trailers": (frame, trailers.filter(~us)),
+        "shifted": (frame.withColumn("line", F.when(us, F.concat("line", F.lit(","))).otherwise(F.col("line"))), trailers),
+    }
+    for n, (records, ends) in enumerate(cases.values()):
+        with pytest.raises(ValueError, match="control totals of a file are wrong"):
+            write_outbound(records, ends, "AR", day, str(tmp_path / f"w{n}"))
+        assert not (tmp_path / f"w{n}.manifest").exists()
+    strict = job.records_of(tables, made_of, replace(P, strict_layout=True))
+    assert write_outbound(strict, trailers, "AR", day, str(tmp_path / "s"), allow_shifted=True).count() == 7
+    none = write_outbound(frame.limit(0), trailers.limit(0), "AR", day, str(tmp_path / "none"))
+    assert none.count() == 0
+
+
+def test_lines_are_numbered_by_counts(spark):
+    """A file with a third of all lines in one invoice, ids far apart: numbers as by sorting."""
+    rng = random.Random(4)
+    rows = []
+    for _ in range(900):
+        invoice = rng.choice([5, 5, rng.randint(1, 10**12)])
+        rows.append((1, rng.choice("ab"), 0, invoice, rng.choice([-1, rng.randint(0, 200_000)]), rng.randint(0, 10**6), None, "x"))
+    rows = list({r[:6]: r for r in rows}.values()) + [(1, f, 1, 0, 0, 0, None, "end") for f in "ab"]
+    schema = "run_seq_id long, file string, part int, invoice_prefix_seq_id long, line_start long, seq int, amount decimal(20,6), value string"
+    got = with_line_numbers(spark.createDataFrame(rows, schema))
+    assert "RangePartitioning" not in got._jdf.queryExecution().executedPlan().toString()
+    for file in "ab":
+        own = sorted((r for r in got.collect() if r.file == file), key=lambda r: r.file_line)
+        assert [r.file_line for r in own] == list(range(1, len(own) + 1))
+        assert [tuple(r)[:6] for r in own] == sorted(r[:6] for r in rows if r[1] == file)
+
+
+def test_lines_are_made_once(tables, made_of, tmp_path, spark):
+    """The text of the records is worked out in one job: later steps read the stored lines."""
+    calls = []
+
+    def keep(df, name):
+        calls.append((name, df))
+        return materialize(df, name)
+
+    frame, trailers = job.records_of(tables, made_of, P), job.trailers_of(tables, made_of, P)
+    write_outbound(frame, trailers, "AR", date(2020, 5, 6), str(tmp_path / "once"), keep=keep)
+    (_, text), (_, found) = calls
+    assert text.columns[-1] == "value" and "concat_ws" not in found._jdf.queryExecution().executedPlan().toString()
 
 
 def test_one_run_is_its_part_of_all_runs(tables, records):
