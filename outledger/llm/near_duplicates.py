@@ -22,6 +22,9 @@ WINDOW = 3
 #: Documents whose shingles are counted (every SHARE-th, at least SAMPLE), the count from which a shingle
 #: is frequent, the most frequent ones told to all tasks, and the parts into which each of these is dealt.
 SHARE, SAMPLE, OFTEN, TOLD, SALTS = 16, 4_000, 3, 400_000, 32
+#: Least width of parity bits; at that width they go with every prefix row.
+FOLDED = 256
+WORDS = ["w0", "w1", "w2", "w3"]
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 SPACES = np.zeros(256, bool)
@@ -83,14 +86,22 @@ def parity(found: np.ndarray) -> np.ndarray:
     """A bit per residue of the hashes: whether an odd number of them has it.
 
     The bits that differ between two sets number at most the elements in one set only, so too many of
-    them rule a pair out for certain. A set has one to two bits an element, 64 at least; half the bits
+    them rule a pair out for certain. A set has one to two bits an element, FOLDED at least; half the bits
     folded onto the other half are the bits of the smaller width.
     """
-    bits = max(64, 1 << max(0, len(found) - 1).bit_length())
+    bits = max(FOLDED, 1 << max(0, len(found) - 1).bit_length())
     odd = np.bincount((found & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(bool), bitorder="little")
 
 
+def folded(bits: np.ndarray) -> list[int]:
+    """Parity bits at the least width, as four whole numbers."""
+    words = bits.view(np.int64)
+    while len(words) > FOLDED // 64:
+        words = words[: len(words) // 2] ^ words[len(words) // 2 :]
+    return words.tolist()
+
+
 def apart(one: bytes, other: bytes) -> int:
     """Bits that differ, at the width of the smaller set: a lower bound of the elements in one set only."""
     x, y = np.frombuffer(one, np.uint64), np.frombuffer(other, np.uint64)
@@ -147,26 +158,29 @@ def profiles(docs: DataFrame, size: int, percent: int, n_docs: int) -> DataFrame
     def of(text: str | None, a: np.ndarray, b: np.ndarray) -> tuple:
         found = shingles(text, size)
         if not len(found):
-            return 0, None, None, None, None, 0
+            return 0, None, None, None, None, 0, None, None, None, None
         first, rare = prefix(found, *sent.value, percent)
         keys = (first >> np.uint64(24)).astype(">u8").view(np.uint8).reshape(-1, 8)[:, 3:]
         digest = hashlib.blake2b(found.tobytes(), digest_size=16).digest()
         # Big-endian: the order of the bytes is the order of the values.
         values = signature(found, a, b).astype(">u2").tobytes()
-        return len(found), digest, values, parity(found).tobytes(), keys.tobytes(), rare
+        bits = parity(found)
+        return len(found), digest, values, bits.tobytes(), keys.tobytes(), rare, *folded(bits)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         a, b = _permutations(TREES * DEPTH)
         for batch in batches:
             rows = pd.DataFrame(
                 [of(text, a, b) for text in batch["text"]],
-                columns=["n_shingles", "digest", "signature", "bits", "keys", "rare"],
-            )
+                columns=["n_shingles", "digest", "signature", "bits", "keys", "rare", *WORDS],
+            ).astype(dict.fromkeys(WORDS, "Int64"))
             rows.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy())
             yield rows
 
     return docs.mapInPandas(
-        run, "doc_id long, n_shingles long, digest binary, signature binary, bits binary, keys binary, rare int"
+        run,
+        "doc_id long, n_shingles long, digest binary, signature binary, bits binary, keys binary, rare int, "
+        + ", ".join(f"{w} long" for w in WORDS),
     )
 
 
@@ -341,7 +355,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, docs: DataFrame, size: int, per
 def crossing(heads: DataFrame, groups: DataFrame) -> DataFrame:
     """key, doc_id, component, n, place and shared of prefix keys that occur in two groups (components) or more.
 
-    `shared` is the number of such keys of the document.
+    `shared` is the number of such keys of the document; its folded parity bits come along.
     Frequent keys are looked at in parts, so that none is bound to one task; they pass where a part
     has two groups, or all parts by their least and greatest group together.
     """
@@ -374,13 +388,15 @@ def crossing(heads: DataFrame, groups: DataFrame) -> DataFrame:
     spans = rows.filter("salt > 0").groupBy("key").agg(F.min("low").alias("low"), F.max("high").alias("high"))
     names = ["key", "doc_id", "component", "n", "place"]
     often = rows.filter("salt > 0").join(spans.filter("low < high").select("key"), "key", "left_semi").select(*names)
-    out = frames.stored(_counted(rows.filter("salt = 0").select(*names).union(often)), "crossing")
+    out = frames.stored(_counted(rows.filter("salt = 0").select(*names).union(often), heads), "crossing")
     frames.discard(rows)
     return out
 
 
-def _counted(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("shared", F.count("*").over(Window.partitionBy("doc_id")).cast("int"))
+def _counted(rows: DataFrame, heads: DataFrame) -> DataFrame:
+    # Both sides meet by document, where the rows are then counted.
+    with_bits = rows.join(heads.select("doc_id", *WORDS).hint("merge"), "doc_id")
+    return with_bits.withColumn("shared", F.count("*").over(Window.partitionBy("doc_id")).cast("int"))
 
 
 def across_groups(rows: DataFrame, others: DataFrame, percent: int, whole: bool) -> DataFrame:
@@ -389,20 +405,23 @@ def across_groups(rows: DataFrame, others: DataFrame, percent: int, whole: bool)
     Shingles before the shared one can only meet shingles before it, and likewise behind it. Of two
     sets, the keys of the prefix that ends first are in the other set only where they are in its prefix: so
     the keys that set shares with no other group, and those it doesn't share with this partner, are
-    lacking. Which of the two ends first isn't looked at; the weaker bound counts. `whole` says that
+    lacking. Which of the two ends first isn't looked at; the weaker bound counts. Parity bits bound what
+    is in one set only. `whole` says that
     `others` has all rows of the keys, so that the keys that a pair shares can be counted.
     """
     n = F.col("n").cast("long")
     length = F.greatest(F.lit(0), F.least(n, n - F.ceil(n * percent / 100) + 1))
     sized = lambda df: df.withColumns({"rest": n - length, "most": n - F.greatest(F.lit(0), length - F.col("shared"))})
-    names = ("doc_id", "component", "n", "place", "rest", "most")
+    names = ("doc_id", "component", "n", "place", "rest", "most", *WORDS)
     own = sized(rows).select("key", *names)
     other = sized(others).select("key", *[F.col(c).alias(f"_{c}") for c in names])
     between = F.least("place", "_place") + F.least(F.col("n") - F.col("place"), F.col("_n") - F.col("_place"))
     total = n + F.col("_n")
     reach = F.least(between.cast("long"), F.greatest("most", "_most"))
+    differ = sum((F.bit_count(F.col(w).bitwiseXOR(F.col(f"_{w}"))) for w in WORDS), F.lit(0)).cast("long")
     pairs = own.join(other, "key").filter(
         (F.col("component") != F.col("_component")) & (reach * (100 + percent) >= total * percent)
+        & (differ * (100 + percent) <= total * (100 - percent))
     ).select(
         F.least("doc_id", "_doc_id").alias("a"), F.greatest("doc_id", "_doc_id").alias("b"), "key",
         total.alias("total"), F.greatest("rest", "_rest").alias("rest"),
@@ -418,7 +437,7 @@ def across_groups(rows: DataFrame, others: DataFrame, percent: int, whole: bool)
 
 def centres(rows: DataFrame) -> DataFrame:
     """One row of each key: of the document that shares the most keys."""
-    best = F.max(F.struct("shared", "doc_id", "component", "n", "place")).alias("best")
+    best = F.max(F.struct("shared", "doc_id", "component", "n", "place", *WORDS)).alias("best")
     return rows.groupBy("key").agg(best).select("key", "best.*")
 
 
@@ -450,11 +469,11 @@ def completed(groups: DataFrame, heads: DataFrame, docs: DataFrame, size: int, p
         if not links.isEmpty():
             groups = merged(groups, links)
             if step == "centres":
-                renewed = frames.stored(rows.drop("component", "shared").join(groups, "doc_id"), "crossing")
+                renewed = frames.stored(rows.drop("component", "shared", *WORDS).join(groups, "doc_id"), "crossing")
                 spans = renewed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
                 still = spans.filter("low < high").select("key")
                 frames.discard(rows)
-                rows = frames.stored(_counted(renewed.join(still, "key", "left_semi")), "crossing")
+                rows = frames.stored(_counted(renewed.join(still, "key", "left_semi"), heads), "crossing")
                 frames.discard(renewed)
     frames.discard(rows)
     return groups
