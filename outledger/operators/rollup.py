@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
+
+from outledger.operators import numbering
 
 MONEY = "decimal(20,6)"
 
@@ -69,3 +71,24 @@ def ar_totals_of(digest: DataFrame) -> DataFrame:
 def account_list(accounts: DataFrame) -> DataFrame:
     """The distinct account numbers as rows, whatever their number; membership tests join them."""
     return accounts.select("acct_number").distinct()
+
+
+def account_texts(accounts: DataFrame, part_rows: int = 1000, separator: str = ",") -> DataFrame:
+    """The distinct account numbers as one ordered list, in numbered parts of `part_rows` each.
+
+    part and accounts (a text); the parts by number, put together, are the whole list, however long it
+    is. Places in the list are sums of counts over ranges of the first characters, so no task sorts
+    all numbers; only the accounts of one part are gathered.
+    """
+    known = account_list(accounts.dropna(subset=["acct_number"]))
+    # The first 7 bytes as a number: it grows with the text.
+    start = F.rpad(F.hex(F.substring(F.encode("acct_number", "UTF-8"), 1, 7)), 14, "0")
+    keyed = known.withColumns({"list": F.lit(0), "start": F.conv(start, 16, 10).cast("long")})
+    counts = keyed.groupBy("list", "start").agg(F.count("*").alias("n"))
+    before = numbering.offsets(counts, ["list"], "start", "n")
+    inside = F.row_number().over(Window.partitionBy("list", "start").orderBy("acct_number"))
+    placed = keyed.join(before, ["list", "start"]).withColumn("place", F.col("offset") + inside - 1)
+    part = F.floor(F.col("place") / part_rows)
+    return placed.groupBy(part.alias("part")).agg(
+        F.array_join(F.array_sort(F.collect_list("acct_number")), separator).alias("accounts")
+    )

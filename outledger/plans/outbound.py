@@ -39,6 +39,9 @@ class Params:
     seller_tax_type: bool = False
     strict_layout: bool = False
     fail_on_rejects: bool = True
+    # Further codes of faults that stop the job, and those whose records are held back.
+    stop_codes: tuple[str, ...] = ()
+    divert_codes: tuple[str, ...] = ()
     # Fixed values of the interface: keys of the two look-up texts.
     local_word_key: tuple[str, str, str] = ("OUTBOUND", "CCL_AR", "CHINESE_CHAR")
     run_type_key: tuple[str, str, str] = ("INTERFACES", "cclar.out", "runtype")
@@ -65,6 +68,8 @@ class Outbound:
     trailers: DataFrame
     rejects: DataFrame
     missing_contracts: DataFrame
+    faults: DataFrame
+    held: DataFrame
 
 
 def lookup_value(look_up: DataFrame, kind: str, code: str, name: str) -> DataFrame:
@@ -276,18 +281,61 @@ def detail_output(details: DataFrame, local_word: Column, strict_layout: bool) -
     )
 
 
+# Codes of faults. A fault of the first two leaves the relation or charge without records.
+NO_LINE, NO_RULE = "no journal line", "tax rate without a rule"
+NO_SITE, NO_CONTRACT, SHIFTED = "no customer site", "no contract", "commas in a cell"
+REJECTED = (NO_LINE, NO_RULE)
+
+
+def faults_of(t: Tables, made_of: Prepared, run: int | None = None) -> DataFrame:
+    """Relations and charges with a fault, and all `codes` of each.
+
+    One row per relation and rate (NULL where the relation has no charge): a row with two faults shows
+    both. All rules are looked at in one pass over the relations wanted.
+    """
+    flags = made_of.heads.select(*KEY, "site_missing", "contract_missing")
+    wanted = drivers.relations_of_invoices(t, run).join(flags, KEY)
+    found = made_of.relations.select(*RELATION, F.lit(True).alias("has_line"))
+    unknown = branches.with_unsupported(made_of.charges).select(*RELATION, "rate_percentage", "unsupported")
+    every = wanted.join(found, RELATION, "left").join(unknown, RELATION, "left")
+    rules_ = {
+        NO_LINE: F.col("has_line").isNull(), NO_RULE: F.col("unsupported"), NO_SITE: F.col("site_missing"),
+        NO_CONTRACT: F.col("contract_missing"),
+    }
+    codes = F.array_compact(F.array(*[F.when(rule, F.lit(code)) for code, rule in rules_.items()]))
+    return every.select(*RELATION, "rate_percentage", codes.alias("codes")).filter(F.size("codes") > 0)
+
+
 def rejects_of(t: Tables, made_of: Prepared, run: int | None = None) -> DataFrame:
-    """Relations without a usable journal line, and India's rates without a rule."""
-    wanted = drivers.relations_of_invoices(t, run).join(made_of.heads, KEY, "left_semi")
-    lost = wanted.join(made_of.relations.select(*RELATION), RELATION, "left_anti").select(
-        *RELATION,
-        F.lit(None).cast("decimal(12,6)").alias("rate_percentage"),
-        F.lit("no journal line").alias("reason"),
-    )
-    unknown = branches.india_unsupported(made_of.charges).select(
-        *RELATION, "rate_percentage", F.lit("tax rate without a rule").alias("reason")
-    )
-    return lost.unionByName(unknown)
+    """Relations without a usable journal line, and India's rates without a rule: a row per fault."""
+    each = faults_of(t, made_of, run).select(*RELATION, "rate_percentage", F.explode("codes").alias("reason"))
+    return each.filter(F.col("reason").isin(*REJECTED))
+
+
+def shifted_records(records: DataFrame) -> DataFrame:
+    """Records with more or fewer commas than their 96 columns have: a cell holds a comma of its own."""
+    return records.filter(layout.comma_count(F.col("line")) != layout.COLUMNS - 1)
+
+
+def stop_on(faults: DataFrame, codes: tuple[str, ...]) -> None:
+    """Fail where a fault has one of the codes."""
+    wanted = F.arrays_overlap("codes", F.array(*[F.lit(c) for c in codes]))
+    first = faults.filter(wanted).limit(1).collect() if codes else []
+    if first:
+        raise ValueError(f"outbound run has rejects, such as {first[0].asDict()}")
+
+
+def diverted(records: DataFrame, faults: DataFrame, codes: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
+    """The records to send, and those held back: of relations with a fault of `codes`, and shifted ones if asked."""
+    if not codes:
+        return records, records.limit(0).withColumn("code", F.lit(None).cast("string"))
+    held = faults.select(*RELATION, F.explode("codes").alias("code")).filter(F.col("code").isin(*codes))
+    held = held.groupBy(*RELATION).agg(F.min("code").alias("code"))
+    marked = records.join(held, RELATION, "left")
+    if SHIFTED in codes:
+        shifted = layout.comma_count(F.col("line")) != layout.COLUMNS - 1
+        marked = marked.withColumn("code", F.coalesce("code", F.when(shifted, F.lit(SHIFTED))))
+    return marked.filter("code is null").drop("code").select(*records.columns), marked.filter("code is not null")
 
 
 def trailers_of(t: Tables, made_of: Prepared, p: Params) -> DataFrame:
@@ -328,6 +376,17 @@ def trailers_of(t: Tables, made_of: Prepared, p: Params) -> DataFrame:
     )
 
 
+def recounted(trailers: DataFrame, held: DataFrame) -> DataFrame:
+    """Trailers whose row counts leave out the records held back."""
+    key = ["run_seq_id", "file_country"]
+    lost = held.groupBy(*key).agg(F.count("*").alias("lost"))
+    n = F.col("n_rows") - F.coalesce("lost", F.lit(0))
+    return trailers.join(lost, key, "left").select(
+        *key, "run_month", n.alias("n_rows"), "run_type",
+        layout.trailer_line(F.col("run_month"), n, F.col("run_type")).alias("line"),
+    )
+
+
 def prepare(t: Tables, p: Params) -> Prepared:
     """Countries, invoice heads, relations, receivable rows and numbered charges.
 
@@ -368,14 +427,23 @@ def outbound(t: Tables, p: Params) -> Outbound:
     """Records, trailers, rejects and the missing-contract report of a run, or of all runs."""
     tables = with_digest(run_tables(t, p), p)
     made_of = prepare(tables, p)
-    rejects = rejects_of(tables, made_of, p.run)
-    if p.fail_on_rejects:
-        first = rejects.limit(1).collect()
-        if first:
-            raise ValueError(f"outbound run has rejects, such as {first[0].asDict()}")
+    faults = p.keep(faults_of(tables, made_of, p.run), "faults")
+    codes = (*(REJECTED if p.fail_on_rejects else ()), *p.stop_codes)
+    stop_on(faults, codes)
+    records = records_of(tables, made_of, p)
+    if SHIFTED in p.stop_codes:
+        lost = shifted_records(records).select(*RELATION, "line").limit(1).collect()
+        if lost:
+            raise ValueError(f"outbound run has a record with {SHIFTED}: {lost[0].asDict()}")
+    trailers = trailers_of(tables, made_of, p)
+    sent, held = diverted(records, faults, p.divert_codes)
+    if p.divert_codes:
+        trailers = recounted(trailers, held)
     return Outbound(
-        records=records_of(tables, made_of, p),
-        trailers=trailers_of(tables, made_of, p),
-        rejects=rejects,
+        records=sent,
+        trailers=trailers,
+        rejects=rejects_of(tables, made_of, p.run),
         missing_contracts=drivers.missing_contracts(tables, p.run),
+        faults=faults,
+        held=held,
     )

@@ -12,6 +12,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from outledger.functions.text import row_as_text
+from outledger.sources.splits import Split, bounds_query, derived, quantile_query
 
 Environments = Mapping[str, Mapping[str, str]]
 
@@ -24,9 +25,39 @@ def environment_options(environments: Environments, name: str) -> dict[str, str]
     raise KeyError(f"unknown environment {name!r}; known: {sorted(environments)}")
 
 
-def query(spark: SparkSession, environments: Environments, name: str, sql: str) -> DataFrame:
-    options = environment_options(environments, name)
-    return spark.read.format("jdbc").options(**options).option("query", sql).load()
+def read_split(
+    spark: SparkSession, options: Mapping[str, str], source: str, split: Split | None, unsplit: bool = False
+) -> DataFrame:
+    """A table or derived table, one task per predicate of its split.
+
+    Without a split the whole result goes through one task and one connection: that must be asked for.
+    """
+    if split is None:
+        if not unsplit:
+            raise ValueError(f"no split for {source[:60]!r}: name a column, or say unsplit=True for a small result")
+        return spark.read.format("jdbc").options(**options).option("dbtable", source).load()
+    rest = {k: v for k, v in options.items() if k != "url"}
+    return spark.read.jdbc(options["url"], source, predicates=split.predicates(), properties=rest)
+
+
+def query(
+    spark: SparkSession, environments: Environments, name: str, sql: str, split: Split | None = None,
+    unsplit: bool = False,
+) -> DataFrame:
+    """The rows of a query text in the chosen environment, split by one of its columns."""
+    return read_split(spark, environment_options(environments, name), derived(sql), split, unsplit)
+
+
+def looked_up_split(
+    spark: SparkSession, options: Mapping[str, str], source: str, column: str, parts: int, even: bool = False
+) -> Split:
+    """A split whose cuts the database gives: by its quantiles, or evenly between its bounds."""
+    text = bounds_query(source, column) if even else quantile_query(source, column, parts)
+    rows = read_split(spark, options, derived(text), None, unsplit=True).collect()
+    if even:
+        low, high = rows[0]
+        return Split(column) if low is None else Split(column, bounds=(low, high), parts=parts)
+    return Split(column, tuple(r[0] for r in rows if r[0] is not None))
 
 
 def last_value(rows: DataFrame, order_by: list[str] | None = None) -> str:
@@ -53,7 +84,8 @@ def query_scalar(
     sql: str,
     order_by: list[str] | None = None,
 ) -> str:
-    return last_value(query(spark, environments, name, sql), order_by)
+    # One value is wanted; with `order_by` the database's rows come through one task.
+    return last_value(query(spark, environments, name, sql, unsplit=True), order_by)
 
 
 def rows_as_text(rows: DataFrame) -> DataFrame:
@@ -62,6 +94,7 @@ def rows_as_text(rows: DataFrame) -> DataFrame:
 
 
 def query_rows_as_text(
-    spark: SparkSession, environments: Environments, name: str, sql: str
+    spark: SparkSession, environments: Environments, name: str, sql: str, split: Split | None = None,
+    unsplit: bool = False,
 ) -> DataFrame:
-    return rows_as_text(query(spark, environments, name, sql))
+    return rows_as_text(query(spark, environments, name, sql, split, unsplit))

@@ -8,20 +8,25 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from outledger import schemas
+from outledger.sources.jdbc import read_split
+from outledger.sources.splits import Split
 
 
 @dataclass(frozen=True)
 class Source:
     """Where tables live: a folder of Parquet tables, a Spark catalog, or a JDBC database.
 
-    `options` go to the JDBC reader (url, user, password, driver, partitioning) and are given at
-    run time; none is stored here. `names` maps a table to its name at the source.
+    `options` go to the JDBC reader (url, user, password, driver) and are given at run time; none is
+    stored here. `names` maps a table to its name at the source. `splits` says by which column a table of
+    a database is read by many tasks; a table without one must be in `small`, and is read by one.
     """
 
     kind: str
     location: str = ""
     options: Mapping[str, str] = field(default_factory=dict)
     names: Mapping[str, str] = field(default_factory=dict)
+    splits: Mapping[str, Split] = field(default_factory=dict)
+    small: frozenset[str] = frozenset()
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         name = self.names.get(table, table)
@@ -30,7 +35,7 @@ class Source:
         if self.kind == "catalog":
             return spark.table(f"{self.location}.{name}" if self.location else name)
         if self.kind == "jdbc":
-            return spark.read.format("jdbc").options(**self.options).option("dbtable", name).load()
+            return read_split(spark, self.options, name, self.splits.get(table), table in self.small)
         raise ValueError(f"unknown source kind {self.kind!r}")
 
 

@@ -226,9 +226,10 @@ def tp_membership(t):
     )
 
 
-@query("select acct_number from {members}")
+@query("""select (place - 1) // 50 as part, string_agg(acct_number, ',' order by acct_number) as accounts
+    from (select acct_number, row_number() over (order by acct_number) as place from {members}) group by all""")
 def account_list(t):
-    return rollup.account_list(journal.tp_accounts(t["gl_account"]))
+    return rollup.account_texts(journal.tp_accounts(t["gl_account"]), part_rows=50)
 
 
 @query("""select distinct run_seq_id, document_number, brin_reference_id

@@ -5,7 +5,7 @@ from decimal import Decimal as D
 import pytest
 
 from outledger.operators import branches, picks
-from outledger.operators.rollup import account_list, rate_rollup
+from outledger.operators.rollup import account_list, account_texts, rate_rollup
 from outledger.plans.outbound import add_lookup, lookup_value
 
 SCHEMA = """id int, country_code string, seller_vat_regime string, rate_percentage decimal(12,6),
@@ -207,6 +207,16 @@ def test_account_list_has_no_limit(spark):
     assert account_list(df.limit(0)).count() == 0
 
 
+def test_account_texts_are_the_whole_list_in_order(spark):
+    names = [f"4{k:09d}" for k in range(700)] + ["", "é", "4", "40000000000001", "zz", "Z", "4000000"] + [f"same-start-{k}" for k in range(40)]
+    df = spark.createDataFrame([(n,) for n in names * 2 + [None]], "acct_number string")
+    parts = {r.part: r.accounts for r in account_texts(df, 50).collect()}
+    assert sorted(parts) == list(range(-(-len(names) // 50)))
+    whole = [x for p in sorted(parts) for x in parts[p].split(",")]
+    assert whole == sorted(names, key=lambda n: n.encode())
+    assert account_texts(df.limit(0)).count() == 0
+
+
 def test_rollup_types_and_descriptions(rows):
     base = dict(invoice_prefix_seq_id=1, brid_billing_rel_id=2, rate_percentage=D("0.1"))
 

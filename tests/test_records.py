@@ -3,6 +3,7 @@
 import hashlib
 import json
 import random
+from collections import Counter
 from dataclasses import replace
 from datetime import date
 from decimal import Decimal as D
@@ -137,6 +138,47 @@ def test_india_columns_and_rejects(records, tables, made_of):
     assert [(r.invoice_prefix_seq_id, r.reason) for r in found] == [(5, "tax rate without a rule")]
 
 
+def test_faults_collect_all_codes(rows, tmp_path):
+    """A charge without a rule, on an invoice without site and contract; a relation without a line; commas in a cell."""
+    charges = [("IN", 1, rel("IN"), "0.07", "100", "7"), ("IN", 1, rel("IN"), "0.18", "10", "1")]
+    charges += [("RU", 2, rel("RU"), "0.2", "10", "2"), ("US", 3, rel("US"), "0.1", "10", "1"), ("US", 4, rel("US", 2), "0.1", "10", "1")]
+    t = world(rows, charges)
+    c = F.col
+    no_site = c("invoice_prefix_seq_id").isin(1, 2)
+    t["je_line"] = (
+        t["je_line"].filter(~((c("invoice_prefix_seq_id") == 3) & (c("je_type") == "REC")))
+        .withColumn("brin_reference_id", F.when(no_site, "REF9").otherwise(c("brin_reference_id")))
+    )
+    late = t["je_line"].filter("invoice_prefix_seq_id = 4 and je_type = 'REC'").withColumns(
+        {"invoice_prefix_seq_id": F.lit(3).cast("long"), "billing_rel_id": F.lit(rel("US")).cast("long"),
+         "je_line_seq_id": F.lit(900).cast("long"), "created_on": c("created_on") + F.expr("INTERVAL 9 DAYS")})
+    t["je_line"] = t["je_line"].unionByName(late)
+    lenient = replace(P, fail_on_rejects=False)
+    made = job.outbound(t, lenient)
+    found = {(r.invoice_prefix_seq_id, r.rate_percentage): r.codes for r in made.faults.collect()}
+    assert found == {
+        (1, D("0.07")): [job.NO_RULE, job.NO_SITE], (1, D("0.18")): [job.NO_SITE],
+        (2, D("0.2")): [job.NO_SITE, job.NO_CONTRACT], (3, None): [job.NO_LINE],
+    }
+    assert {(r.invoice_prefix_seq_id, r.reason) for r in made.rejects.collect()} == {(1, job.NO_RULE), (3, job.NO_LINE)}
+    with pytest.raises(ValueError, match="no contract"):
+        job.outbound(t, replace(lenient, stop_codes=(job.NO_CONTRACT,)))
+    # Held back: details of relations without a contract, and records with a comma of their own.
+    t["je_line"] = t["je_line"].withColumn("project", F.when(c("invoice_prefix_seq_id") == 4, "a,b").otherwise(c("project")))
+    with pytest.raises(ValueError, match="commas in a cell"):
+        job.outbound(t, replace(lenient, stop_codes=(job.SHIFTED,)))
+    made = job.outbound(t, replace(lenient, divert_codes=(job.NO_CONTRACT, job.SHIFTED)))
+    held = Counter((r.invoice_prefix_seq_id, r.code) for r in made.held.collect())
+    whole = Counter(r.invoice_prefix_seq_id for r in job.outbound(t, lenient).records.collect())
+    sent = Counter(r.invoice_prefix_seq_id for r in made.records.collect())
+    assert held[2, job.NO_CONTRACT] == 2 and held[4, job.SHIFTED] > 0
+    assert sent + Counter(k for k, _ in held.elements()) == whole
+    day = date(2020, 5, 6)
+    with pytest.raises(ValueError, match="control totals"):
+        write_outbound(job.outbound(t, lenient).records, made.trailers, "AR", day, str(tmp_path / "all"))
+    assert write_outbound(made.records, made.trailers, "AR", day, str(tmp_path / "sent")).count() == 3
+
+
 def test_files_and_control_totals(tables, made_of, records, tmp_path):
     expected = {}
     for r in records:
