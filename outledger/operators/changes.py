@@ -11,25 +11,48 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 def define_table(spark: SparkSession, schema: T.StructType | str) -> DataFrame:
     """An empty frame with the table's typed columns."""
-    return spark.createDataFrame([], schema)
+    struct = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    return spark.createDataFrame([], T.StructType([T.StructField(f.name, _plain(f.dataType), f.nullable) for f in struct]))
+
+
+def _plain(kind: T.DataType) -> T.DataType:
+    """Text of limited length is plain text in frames; a table's columns hold the limit."""
+    return T.StringType() if isinstance(kind, (T.VarcharType, T.CharType)) else kind
 
 
 def not_null_checked(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Columns cast to the table's types; a NULL in a NOT NULL column fails the job."""
     cols = []
     for f in schema.fields:
-        value = F.col(f.name).cast(f.dataType)
+        kind = _plain(f.dataType)
+        value = F.col(f.name).cast(kind)
         if not f.nullable:
-            error = F.raise_error(F.lit(f"column {f.name} must not be NULL")).cast(f.dataType)
+            error = F.raise_error(F.lit(f"column {f.name} must not be NULL")).cast(kind)
             value = F.coalesce(value, error)
         cols.append(value.alias(f.name))
     return df.select(*cols)
 
 
 def create_table(df: DataFrame, name: str, schema: T.StructType | None = None) -> None:
-    """Save a frame as a Parquet table, its NOT NULL columns checked while writing."""
-    checked = df if schema is None else not_null_checked(df, schema)
-    checked.write.format("parquet").saveAsTable(name)
+    """Save a frame as a Parquet table.
+
+    With a schema the table is created with its columns first: NOT NULL columns and the lengths of
+    VARCHAR and CHAR columns are checked while rows are written, now and by later inserts into the
+    table, and a row that breaks them fails the write.
+    """
+    if schema is None:
+        df.write.format("parquet").saveAsTable(name)
+        return
+    columns = ", ".join(
+        f"`{f.name}` {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}" for f in schema.fields
+    )
+    df.sparkSession.sql(f"CREATE TABLE {name} ({columns}) USING parquet")
+    insert_into(df, name, schema)
+
+
+def insert_into(df: DataFrame, name: str, schema: T.StructType) -> None:
+    """Append rows to a created table, by column name, with its checks."""
+    not_null_checked(df, schema).write.insertInto(name)
 
 
 def insert_rows(df: DataFrame, rows: DataFrame) -> DataFrame:

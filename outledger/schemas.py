@@ -57,7 +57,7 @@ TABLES: dict[str, str] = {
     "company_code": "balancing_segment string, company_code string",
     "customer_site": """use_global_cust_site string, bill_to_site string, reference_id string,
         customer_site string""",
-    "customers": "id int not null, name string not null, age int not null",
+    "customers": "id int not null, name varchar(20) not null, age int not null",
     "users": "p_id int, firstname string, lastname string, secret string",
     "employees": "first_name string, department_id long, hire_date timestamp",
     "departments": "department_id long, department_name string",

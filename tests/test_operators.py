@@ -145,11 +145,18 @@ def test_change_sets(spark):
 
 def test_saved_table(spark):
     schema = T.StructType.fromDDL(schemas.TABLES["customers"])
-    df = spark.createDataFrame([(1, "n", 2)], "id int, name string, age int")
+    kind = "id int, name string, age int"
+    df = spark.createDataFrame([(1, "n" * 20, 2)], kind)
     spark.sql("drop table if exists outledger_customers")
     changes.create_table(df, "outledger_customers", schema)
-    assert spark.table("outledger_customers").count() == 1
+    changes.insert_into(df.select("age", "name", "id"), "outledger_customers", schema)
+    assert [tuple(r) for r in spark.table("outledger_customers").collect()] == [(1, "n" * 20, 2)] * 2
+    for wrong in ((2, "n" * 21, 3), (2, None, 3), (None, "n", 3)):
+        with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH|exceeds|must not be NULL"):
+            changes.insert_into(spark.createDataFrame([wrong], kind), "outledger_customers", schema)
+    assert spark.table("outledger_customers").count() == 2
     spark.sql("drop table outledger_customers")
+    assert changes.define_table(spark, schemas.TABLES["customers"]).columns == ["id", "name", "age"]
 
 
 def test_environments_and_scalars(spark):
