@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
@@ -9,10 +10,14 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from outledger.functions import rules, text
-from outledger.operators import branches, changes, drivers, journal, people, rollup
+from outledger import schemas
+from outledger.operators import branches, changes, drivers, journal, ledger, people, rollup
 from outledger.operators.counterparty import counterparties, primary_contact
 from outledger.plans import outbound as job
-from outledger.sources.jdbc import rows_as_text
+from outledger.runtime import checkpoint_dir
+from outledger.sources import files
+from outledger.sources.jdbc import environment_options, rows_as_text
+from outledger.sources.tables import Source, load_tables
 from outledger.testbed import checks
 from outledger.testbed.adapter import Adapter, billing_tables
 
@@ -414,6 +419,34 @@ def outbound_lines(t):
     return job.outbound(t, PARAMS).records.drop("line_start")
 
 
+TRAILER = """concat('BILCCL,CCLARINVES,', strftime(s.run_on, '%Y%m'), '15,TRAILER,', coalesce(n.n_rows, 0), ',',
+    case when e.site_error then 'test' else w.run_mode end)"""
+
+
+@query(f"""select run_seq_id, file, row_number() over (partition by run_seq_id, file order by part,
+        invoice_prefix_seq_id, kind <> 'REC', billing_rel_id, rate_percentage nulls last, seq) as file_line, value
+    from (
+        select run_seq_id, concat('AR.', file_country, '-', strftime(date '{checks.AS_OF}', '%d%b%y')) as file, 0 as part,
+            invoice_prefix_seq_id, kind, billing_rel_id, rate_percentage, seq, line as value from {{made}}
+        union all
+        select d.run_seq_id, concat('AR.', d.file_country, '-', strftime(date '{checks.AS_OF}', '%d%b%y')), 1, null,
+            null, null, null, null, {TRAILER}
+        from {{countries}} d
+        left join {{outbound_summary}} s on s.run_seq_id = d.run_seq_id and s.gl_identifier = 'CCA'
+        left join (select run_seq_id, country_id, count(*) as n_rows from {{made}} group by all) n
+            on n.run_seq_id = d.run_seq_id and n.country_id = d.country_id
+        left join (select run_seq_id, country_id, bool_or(site_missing) as site_error from {{heads}} group by all) e
+            on e.run_seq_id = d.run_seq_id and e.country_id = d.country_id
+        cross join {{words}} w)""")
+def file_lines(t):
+    """All files written in parts and read back line by line."""
+    path = f"{checkpoint_dir(t.spark)}/files-{uuid.uuid4().hex}"
+    made_of = _parts(t)
+    records, trailers = job.records_of(t, made_of, PARAMS), job.trailers_of(t, made_of, PARAMS)
+    parts = files.write_outbound(records, trailers, "AR", AS_OF, path, part_lines=500)
+    return files.read_lines(t.spark, path, parts)
+
+
 # --- small tables -------------------------------------------------------------------------------
 
 
@@ -476,6 +509,62 @@ def dml_change_set(t):
     return changes.apply_changes({"c": t["customer"]}, steps)["c"]
 
 
+@query("""with inserted as (select c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment from customer
+        union all select s_suppkey + 1000000, s_name, null, null, null from supplier),
+    updated as (select case when c_mktsegment = 'MACHINERY' then c_custkey + 7 else c_custkey end as c_custkey,
+        case when c_mktsegment = 'MACHINERY' then 'BUILDING' else c_mktsegment end as c_mktsegment, c_name,
+        c_nationkey, c_acctbal from inserted)
+    select * from updated where (c_mktsegment = 'HOUSEHOLD' and c_acctbal < 5000) is not true""")
+def dml_stored(t):
+    """Versioned changes of a table in folders by segment, applied through its ledger and read back."""
+    root = f"{checkpoint_dir(t.spark)}/stored-{uuid.uuid4().hex}"
+    customer = t["customer"].select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    ledger.create_stored(customer, root, "c", ["c_mktsegment"])
+    rows = t["supplier"].select((F.col("s_suppkey") + 1000000).alias("c_custkey"), F.col("s_name").alias("c_name"))
+    moved = F.col("c_mktsegment") == "MACHINERY"
+    poor = (F.col("c_mktsegment") == "HOUSEHOLD") & (F.col("c_acctbal") < 5000)
+    values = {"c_custkey": F.col("c_custkey") + 7, "c_mktsegment": F.lit("BUILDING")}
+    steps = [
+        ledger.StoredChange("V4__delete", "c", lambda d: changes.delete_rows(d, poor), poor, "delete"),
+        ledger.StoredChange("V2__insert", "c", lambda d: changes.insert_rows(d, rows), text="insert"),
+        ledger.StoredChange("V3__update", "c", lambda d: changes.update_rows(d, moved, values), moved, "update"),
+    ]
+    ledger.apply_stored(t.spark, root, {"c": customer.schema}, {"c": ["c_mktsegment"]}, steps)
+    return ledger.read_stored(t.spark, root, "c", customer.schema)
+
+
+@query("""select cast(c_custkey as integer) as id, left(c_name, 20) as name, cast(c_nationkey as integer) as age
+    from customer""")
+def created_table(t):
+    """Rows of a table created with its types, NOT NULL columns and lengths."""
+    name = f"customers_{uuid.uuid4().hex}"
+    rows = t["customer"].select(
+        F.col("c_custkey").alias("id"), F.left("c_name", F.lit(20)).alias("name"), F.col("c_nationkey").alias("age")
+    )
+    changes.create_table(rows, name, schemas.struct("customers"))
+    return t.spark.table(name)
+
+
+@query("""select e.first_name, e.department_id, strftime(e.hire_date, '%Y-%m-%d %H:%M:%S') as hire_date,
+    d.department_name from {employees} e left join {departments} d using (department_id)""")
+def loaded_tables(t):
+    """Tables found by name: one in a folder of Parquet tables, one in the catalog, the folder by environment."""
+    folder = f"{checkpoint_dir(t.spark)}/load-{uuid.uuid4().hex}"
+    t["employees"].write.parquet(f"{folder}/T_EMPLOYEES")
+    name = f"departments_{uuid.uuid4().hex}"
+    t["departments"].write.saveAsTable(name)
+    environments = {"UAT": {"location": "/nowhere"}, "Test": {"location": folder}}
+    found = environment_options(environments, "tEST")["location"]
+    sources = {
+        "billing": Source("parquet", found, names={"employees": "T_EMPLOYEES"}),
+        "second": Source("catalog", names={"departments": name}),
+    }
+    tables = load_tables(t.spark, sources, ["employees", "departments"], placed={"departments": "second"})
+    return tables["employees"].join(tables["departments"], "department_id", "left").select(
+        "first_name", "department_id", "hire_date", "department_name"
+    )
+
+
 @query("""select concat_ws(' ', n_nationkey, trim(n_name), n_regionkey, trim(c_name), c_custkey) as value
     from customer join nation on c_nationkey = n_nationkey""")
 def rows_text(t):
