@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark import TaskContext
@@ -46,49 +47,63 @@ def record(headers: dict[str, object], block: bytes) -> bytes:
     return head.encode("utf-8") + 2 * END + block
 
 
-def records(pieces: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers and block of each record of a byte stream."""
-    held = b""
-    for piece in [*pieces, None] if isinstance(pieces, list) else _ended(pieces):
-        held = held if piece is None else held + piece
-        at = 0
+def records(pieces: Iterable[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Headers and block of each record of a byte stream; an error where the stream ends inside one."""
+    held, at, headers, begin, end = bytearray(), 0, None, 0, 0
+    for piece in pieces:
+        held += piece
         while True:
-            stop = held.find(2 * END, at)
-            if stop < 0:
-                break
-            headers = _headers(held[at:stop])
-            begin = stop + 4
-            end = begin + int(headers["content-length"])
+            if headers is None:
+                stop = held.find(2 * END, at)
+                if stop < 0:
+                    break
+                headers = _headers(bytes(held[at:stop]))
+                begin = stop + 4
+                end = begin + int(headers["content-length"])
             if end + 4 > len(held):
                 break
-            yield headers, held[begin:end]
-            at = end + 4
-        held = held[at:]
-    if held:
+            yield headers, bytes(held[begin:end])
+            at, headers = end + 4, None
+        # What has been read goes at once, so that a long record is copied once.
+        del held[:at]
+        begin, end, at = begin - at, end - at, 0
+    if headers is not None and end <= len(held) and not held[end:].strip():
+        yield headers, bytes(held[begin:end])
+    elif headers is not None or held.strip():
         raise ValueError("archive ends inside a record")
 
 
-def _ended(pieces: Iterator[bytes]) -> Iterator[bytes | None]:
-    yield from pieces
-    yield None
-
-
 def _headers(raw: bytes) -> dict[str, str]:
-    lines = raw.decode("utf-8").split("\r\n")
+    lines = raw.decode("utf-8", "replace").lstrip("\r\n").split("\r\n")
     if not lines[0].startswith(("WARC/", "HTTP/")):
         raise ValueError(f"no record at {lines[0][:40]!r}")
     return {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
 
 
 def inflated(content: bytes, step: int = 1 << 20) -> Iterator[bytes]:
-    """A gzip stream in pieces; other content as it is."""
+    """All members of a gzip file in pieces, one after the other; other content as it is.
+
+    Archives usually have one member per record. A file that ends inside a member is an error; zeros
+    behind the last one are padding.
+    """
     if content[:2] != b"\x1f\x8b":
         yield content
         return
-    stream = zlib.decompressobj(31)
+    stream = None
     for k in range(0, len(content), step):
-        yield stream.decompress(content[k : k + step])
-    yield stream.flush()
+        piece = content[k : k + step]
+        while piece:
+            if stream is None:
+                piece = piece.lstrip(b"\0")
+                if not piece:
+                    break
+                stream = zlib.decompressobj(31)
+            yield stream.decompress(piece)
+            piece = stream.unused_data if stream.eof else b""
+            if stream.eof:
+                stream = None
+    if stream is not None:
+        raise ValueError("archive ends inside a gzip member")
 
 
 # ---------------------------------------------------------------- writing
@@ -188,32 +203,60 @@ def _whole(x) -> int | None:
 # ---------------------------------------------------------------- reading
 
 
+#: Types that are read; others (about the crawl, requests) are passed by.
+READ = {"response", "revisit", "resource"}
+DIGESTS = {"sha256", "sha1", "md5", "sha512"}
+
+
 def _page(urn: str | None) -> int | None:
+    """The page id in a name of this writer; other names have none."""
     tail = (urn or "").removeprefix("<urn:page:").rstrip(">")
-    return int(tail) if tail else None
+    return int(tail) if urn and urn.startswith("<urn:page:") and tail else None
+
+
+def _is_digest(claimed: str, *contents: bytes) -> bool:
+    """Whether a labelled digest, in hex or base32, is that of one of the contents; unknown kinds pass."""
+    kind, _, value = claimed.partition(":")
+    kind = kind.strip().lower().replace("-", "")
+    if kind not in DIGESTS:
+        return True
+    for content in contents:
+        found = hashlib.new(kind, content).digest()
+        if value.strip().lower() == found.hex() or value.strip().upper().rstrip("=") == base64.b32encode(found).decode().rstrip("="):
+            return True
+    return False
 
 
 def _settled(headers: dict[str, str], block: bytes) -> dict[str, object]:
     """A whole record's row: HTTP head apart, chunked framing decoded, digest verified."""
-    head, _, body = block.partition(2 * END)
-    http = _headers(head)
-    claimed = headers["warc-payload-digest"].removeprefix("sha256:")
+    http, body = {}, block
+    if block.startswith(b"HTTP/"):
+        head, _, body = block.partition(2 * END)
+        http = _headers(head)
+    claimed = headers.get("warc-payload-digest")
     row = {
         "page_id": _page(headers["warc-record-id"]), "url": headers.get("warc-target-uri"),
         "record_type": headers["warc-type"], "refers_to": _page(headers.get("warc-refers-to")),
-        "payload_digest": claimed,
+        "record_id": headers["warc-record-id"], "refers_to_id": headers.get("warc-refers-to"),
     }
     if row["record_type"] == "revisit":
-        return row | {"payload_bytes": int(http["content-length"]), "payload": None}
-    payload = unchunked(body) if http.get("transfer-encoding") == "chunked" else body
-    if hashlib.sha256(payload).hexdigest() != claimed:
+        length = http.get("content-length", "")
+        return row | {
+            "payload_digest": claimed and claimed.removeprefix("sha256:"),
+            "payload_bytes": int(length) if length.isdigit() else None, "payload": None,
+        }
+    payload = unchunked(body) if http.get("transfer-encoding", "").lower() == "chunked" else body
+    # Writers digest the payload with or without its transfer framing.
+    if claimed and not _is_digest(claimed, payload, body):
         raise ValueError(f"payload of {headers['warc-record-id']} has another digest")
-    return row | {"payload_bytes": len(payload), "payload": payload}
+    return row | {
+        "payload_digest": hashlib.sha256(payload).hexdigest(), "payload_bytes": len(payload), "payload": payload,
+    }
 
 
 COLUMNS = (
     "page_id long, url string, payload_bytes long, payload_digest string, record_type string, "
-    "refers_to long, payload binary"
+    "refers_to long, record_id string, refers_to_id string, payload binary"
 )
 NAMES = [c.split()[0] for c in COLUMNS.split(", ")]
 
@@ -228,11 +271,16 @@ def _frame(rows: list[dict], with_payload: bool) -> pd.DataFrame:
 
 
 def read_archive(spark: SparkSession, folder: str, with_payload: bool = True) -> DataFrame:
-    """page_id, url, payload_bytes, payload_digest, record_type, refers_to, payload of each record.
-
-    Records are parsed as a stream. Segments go on by origin identifier: ordered by segment number
-    they must be complete and as long as the total length says. A revisit has no payload of its own
-    (NULL); its length is that of its HTTP head.
+    """One row per response, revisit and resource of the archives in a folder, of any writer.
+
+    page_id, url, payload_bytes, payload_digest (sha256, hex), record_type, refers_to, record_id,
+    refers_to_id, payload. Records of other types are passed by. Records are parsed as a stream, from
+    plain files and from gzip files with any number of members; a truncated file, or one that isn't an
+    archive, fails the read. Segments go on by origin identifier (and by set, where the writer names
+    one): ordered by segment number they must be complete and as long as the total length says. Digests
+    of known kinds are verified. A revisit has no payload of its own (NULL): its digest is the one it
+    claims, its length that of its HTTP head (NULL without one). page_id and refers_to are set for names
+    of this module's writer. An empty folder gives no rows.
     """
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -240,6 +288,8 @@ def read_archive(spark: SparkSession, folder: str, with_payload: bool = True) ->
             for content in batch["content"]:
                 rows = []
                 for headers, block in records(inflated(content)):
+                    if headers["warc-type"] not in READ and "warc-segment-number" not in headers:
+                        continue
                     if "warc-segment-number" not in headers:
                         rows.append(_settled(headers, block))
                         if not with_payload:
@@ -247,7 +297,7 @@ def read_archive(spark: SparkSession, folder: str, with_payload: bool = True) ->
                     else:
                         rows.append({
                             "origin": headers.get("warc-segment-origin-id", headers["warc-record-id"]),
-                            "set": headers["warc-segment-set"],
+                            "set": headers.get("warc-segment-set"),
                             "number": int(headers["warc-segment-number"]),
                             "total": headers.get("warc-segment-total-length"),
                             "headers": "\n".join(f"{k}:{v}" for k, v in headers.items()),
@@ -275,7 +325,7 @@ def read_archive(spark: SparkSession, folder: str, with_payload: bool = True) ->
         if pd.isna(total) or int(total) != len(block):
             raise ValueError(f"segments of {name} have {len(block)} bytes instead of {total}")
         headers = dict(x.split(":", 1) for x in ordered["headers"].iloc[0].split("\n"))
-        return _frame([_settled(headers, block)], with_payload)
+        return _frame([_settled(headers, block)] if headers["warc-type"] in READ else [], with_payload)
 
     files = spark.read.format("binaryFile").load(folder).select("content")
     parsed = frames.stored(files.mapInPandas(parse, COLUMNS + segment), "warc-records")

@@ -1,5 +1,7 @@
 """Each operator against the library, brute force or a round trip, with awkward rows."""
 
+import base64
+import gzip
 import hashlib
 import random
 import re
@@ -210,6 +212,77 @@ def test_warc(llm, tmp_path):
     assert warc.archive_round_trip(df.limit(0), str(tmp_path / "none")).count() == 0
 
 
+def foreign(kind, name, block, **headers):
+    """A record as other writers make it."""
+    lines = [f"WARC-Type: {kind}", f"WARC-Record-ID: {name}", *(f"{k.replace('_', '-')}: {v}" for k, v in headers.items())]
+    return ("\r\n".join(["WARC/1.0", *lines, f"Content-Length: {len(block)}"]) + "\r\n\r\n").encode() + block + b"\r\n\r\n"
+
+
+def test_foreign_archives(llm, tmp_path):
+    """One gzip member per record, other record types, sha1 digests, segments without a set, plain files."""
+    ok = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n"
+    page, long = b"<p>one</p>", bytes(range(256)) * 9000
+    sha1 = base64.b32encode(hashlib.sha1(page).digest()).decode()
+    whole = ok.replace(b"\r\n\r\n", b"\r\nTransfer-Encoding: chunked\r\n\r\n") + warc.chunked(long, 70_000)
+    cuts = [whole[:900_000], whole[900_000:1_800_000], whole[1_800_000:]]
+    kept = [
+        foreign("warcinfo", "<urn:uuid:0>", b"software: x\r\n"),
+        foreign("request", "<urn:uuid:1>", b"GET / HTTP/1.1\r\n\r\n", WARC_Concurrent_To="<urn:uuid:2>"),
+        foreign("response", "<urn:uuid:2>", ok + page, WARC_Payload_Digest=f"sha1:{sha1}", WARC_Target_URI="http://a/"),
+        foreign("resource", "<urn:uuid:3>", b"plain", WARC_Payload_Digest=f"sha-512:{hashlib.sha512(b'plain').hexdigest()}"),
+        foreign("revisit", "<urn:uuid:4>", ok, WARC_Refers_To="<urn:uuid:2>", WARC_Payload_Digest=f"sha1:{sha1}"),
+        foreign("response", "<urn:uuid:5>", cuts[0], WARC_Segment_Number=1),
+        foreign("continuation", "<urn:uuid:7>", cuts[2], WARC_Segment_Number=3, WARC_Segment_Origin_ID="<urn:uuid:5>",
+                WARC_Segment_Total_Length=len(whole)),
+        foreign("metadata", "<urn:uuid:8>", b"x: y"),
+        foreign("continuation", "<urn:uuid:6>", cuts[1], WARC_Segment_Number=2, WARC_Segment_Origin_ID="<urn:uuid:5>"),
+        foreign("response", "<urn:uuid:9>", b"no http head"),
+        foreign("request", "<urn:uuid:10>", b"GET /", WARC_Segment_Number=1),
+        foreign("continuation", "<urn:uuid:11>", b"x", WARC_Segment_Number=2, WARC_Segment_Origin_ID="<urn:uuid:10>",
+                WARC_Segment_Total_Length=6),
+    ]
+    expected = {
+        "<urn:uuid:2>": ("response", page, len(page)), "<urn:uuid:3>": ("resource", b"plain", 5),
+        "<urn:uuid:4>": ("revisit", None, None), "<urn:uuid:5>": ("response", long, len(long)),
+        "<urn:uuid:9>": ("response", b"no http head", 12),
+    }
+    for name, content in [("members", b"".join(map(gzip.compress, kept)) + bytes(9)), ("one", gzip.compress(b"".join(kept))), ("plain", b"".join(kept))]:
+        folder = tmp_path / name
+        folder.mkdir()
+        (folder / "a.warc").write_bytes(content)
+        rows = warc.read_archive(llm, str(folder)).collect()
+        assert {r.record_id: (r.record_type, r.payload and bytes(r.payload), r.payload_bytes) for r in rows} == expected
+        assert {r.record_id: r.payload_digest for r in rows} == {
+            k: f"sha1:{sha1}" if p is None else hashlib.sha256(p).hexdigest() for k, (_, p, _) in expected.items()
+        }
+        assert {r.refers_to_id for r in rows} == {None, "<urn:uuid:2>"} and {r.page_id for r in rows} == {None}
+    empty = tmp_path / "empty"
+    empty.mkdir()
+    assert warc.read_archive(llm, str(empty)).count() == 0
+    members = b"".join(map(gzip.compress, kept))
+    wrong = foreign("response", "<urn:uuid:2>", ok + page, WARC_Payload_Digest="sha1:" + sha1[::-1])
+    for n, (content, message) in enumerate([
+        (members[:-20], "ends inside a gzip member"), (b"".join(kept)[:-30], "ends inside a record"),
+        (b"no archive at all\r\n\r\n", "no record at"), (wrong, "another digest"), (b"".join(kept[:6]), "instead of|missing"),
+    ]):
+        folder = tmp_path / f"bad{n}"
+        folder.mkdir()
+        (folder / "a.warc").write_bytes(content)
+        with pytest.raises(Exception, match=message):
+            warc.read_archive(llm, str(folder)).collect()
+
+
+def test_records_in_small_pieces():
+    kept = [foreign("response", f"<urn:{k}>", bytes([k]) * n) for k, n in enumerate([0, 1, 5000, 3])]
+    raw = b"".join(kept)
+    for step in (1, 7, 4096, len(raw)):
+        found = list(warc.records(raw[k : k + step] for k in range(0, len(raw), step)))
+        assert [len(block) for _, block in found] == [0, 1, 5000, 3]
+    packed = b"".join(map(gzip.compress, kept))
+    for step in (1, 5, 64):
+        assert b"".join(warc.inflated(packed, step)) == raw
+
+
 def test_top_k(llm):
     rng = np.random.default_rng(4)
     vectors = np.round(rng.normal(size=(400, 12)) * 0.3, 3)
