@@ -24,16 +24,27 @@ TARGETS = "you your yours yourself he she him her they them their du dich dir de
 NEGATIONS = "not never no neither nor cannot don didn isn wasn aren won nicht kein keine keinen nie niemals ne pas jamais aucun aucune non nunca jamás ningún ninguna tampoco"
 REPORTS = "said says say saying wrote writes claimed claims called quoted quote reported alleged sagte sagt schrieb behauptete nannte zitierte dit disait écrit affirme cité dijo dice decía escribió afirma llamó citó"
 INSULTS = "idiot idiots moron morons stupid dumb loser losers worthless pathetic scum trash clown disgusting dummkopf trottel abschaum wertlos erbärmlich crétin imbécile ordure minable imbécil estúpido basura patético"
-THREATS = "kill murder hurt destroy shoot stab beat strangle töten umbringen ermorden verletzen tuer assassiner blesser frapper matar asesinar golpear herir"
-
-# Labels of words in a clause; INSULT and THREAT carry a weight of their own.
-OTHER, TARGET, NEGATION, REPORT, INSULT, THREAT = "otnrIT"
-# Labels that the transducers write: denied, reported and aimed forms.
-DENIED = {INSULT: "i", THREAT: "h"}
-REPORTED = {INSULT: "q", THREAT: "w", "i": "j", "h": "k"}
-AIMED = {INSULT: "D", THREAT: "A"}
+HARMS = "kill murder hurt destroy shoot stab beat strangle töten umbringen ermorden verletzen tuer assassiner blesser frapper matar asesinar golpear herir"
+
+INTENTS = "will gonna going want wants shall should must deserve deserves let werde wirst wird soll sollte muss verdienst vais vas va veux veut doit dois mérites voy vas va quiero quiere debe debes mereces"
+INTENSIFIERS = "very such so complete completely total totally absolute utter real really damn sehr so völlig total echt absolut très si tellement vraiment totalement muy tan totalmente realmente completo completa"
+
+# Labels of words in a clause; INSULT and HARM carry a weight of their own.
+OTHER, TARGET, NEGATION, REPORT, INTENT, INTENSIFIER, INSULT, HARM = "otnrmsIT"
+READ = OTHER + TARGET + NEGATION + REPORT + INTENT + INTENSIFIER + INSULT + HARM
+# What the transducers write. A target behind the word or before it: aimed insult D, aimed harm B.
+AIMED = {INSULT: "D", HARM: "B", "S": "E", "X": "A"}
+# An insult made stronger, S (aimed: E); a harm that is meant, X (aimed: A).
+STRONGER = {INSULT: "S", "D": "E"}
+MEANT = {HARM: "X", "B": "A"}
+INSULTING, THREATENING = "ISDE", "TXBA"
+DENIED = dict.fromkeys(INSULTING, "i") | dict.fromkeys(THREATENING, "h")
+REPORTED = dict.fromkeys(INSULTING, "q") | dict.fromkeys(THREATENING, "w") | {"i": "j", "h": "k"}
 #: Share of a word's weight that counts, by its final label.
-FACTORS = {"I": 1.0, "D": 1.5, "T": 0.5, "A": 2.0, "i": 0.4, "h": 0.1, "q": 0.6, "w": 0.2, "j": 0.3, "k": 0.05}
+FACTORS = {
+    "I": 1.0, "S": 1.2, "D": 1.5, "E": 1.8, "T": 0.5, "X": 1.2, "B": 1.2, "A": 2.0,
+    "i": 0.4, "h": 0.1, "q": 0.6, "w": 0.2, "j": 0.3, "k": 0.05,
+}
 
 
 @dataclass
@@ -83,26 +94,48 @@ def compose(first: Transducer, second: Transducer) -> Transducer:
     return out
 
 
-def grammar() -> Transducer:
-    """Negation, then reported speech, then targets, then weights."""
-    read = OTHER + TARGET + NEGATION + REPORT + INSULT + THREAT
-    denied = read + "ih"
-    reported = denied + "qwjk"
-    machine = compose(scope(NEGATION, DENIED, read, 3), scope(REPORT, REPORTED, denied, None))
-    machine = compose(machine, scope(TARGET, AIMED, reported, 4))
-    return compose(machine, weights(reported + "DA"))
+def machines() -> tuple[Transducer, list[Transducer]]:
+    """The target machine that reads a clause from its end, and those that read it from its start, in order.
+
+    From the end: a target up to 4 words behind an insult or harm aims it. From the start: insults after
+    an intensifier, harm after words of intent, denial, reported speech, and targets before the word.
+    """
+    behind = scope(TARGET, {INSULT: "D", HARM: "B"}, READ, 4)
+    read = READ + "DB"
+    insult = scope(INTENSIFIER, STRONGER, read, 2)
+    read += "SE"
+    threat = scope(INTENT, MEANT, read, 4)
+    read += "XA"
+    denial = scope(NEGATION, DENIED, read, 3)
+    read += "ih"
+    report = scope(REPORT, REPORTED, read, None)
+    read += "qwjk"
+    target = scope(TARGET, AIMED, read, 4)
+    return behind, [insult, threat, denial, report, target, weights(read)]
+
+
+def grammar() -> tuple[Transducer, Transducer]:
+    """The machine from the end, and all others as one from the start."""
+    behind, forward = machines()
+    whole = forward[0]
+    for machine in forward[1:]:
+        whole = compose(whole, machine)
+    return behind, whole
 
 
 class Scorer:
     """Scores of texts: the matched clauses' weights, summed and the largest."""
 
     def __init__(self, lexicon: dict[str, float]):
-        self.machine = grammar()
+        self.behind, self.machine = grammar()
         self.stems = {k[:-1]: w for k, w in lexicon.items() if k.endswith("*")}
         self.lengths = sorted({len(s) for s in self.stems})
         self.words = {k: w for k, w in lexicon.items() if not k.endswith("*")}
         self.fixed: dict[str, tuple[str, float]] = {}
-        for words, label in ((TARGETS, TARGET), (NEGATIONS, NEGATION), (REPORTS, REPORT)):
+        classes = (
+            (INTENSIFIERS, INTENSIFIER), (INTENTS, INTENT), (TARGETS, TARGET), (NEGATIONS, NEGATION), (REPORTS, REPORT),
+        )
+        for words, label in classes:
             self.fixed |= {w: (label, 0.0) for w in words.split()}
         self.known: dict[str, tuple[str, float] | None] = {}
 
@@ -112,7 +145,7 @@ class Scorer:
         for n in self.lengths:
             weight = max(weight, self.stems.get(word[:n], 0.0)) if len(word) >= n else weight
         if weight > 0:
-            return (THREAT if word in _THREATS else INSULT), weight
+            return (HARM if word in _HARMS else INSULT), weight
         return self.fixed.get(word)
 
     def clauses(self, text: str | None) -> list[float]:
@@ -137,20 +170,29 @@ class Scorer:
                 begin -= 1
             while end + 1 < len(words) and words[end + 1].isalpha():
                 end += 1
-            done, state, score = end, self.machine.start, 0.0
-            for k in range(begin, end + 1):
-                label, weight = found[k] or (OTHER, 0.0)
-                state, _, share = self.machine.step(state, label)
-                score += weight * share
-            out.append(score)
+            done = end
+            out.append(self.clause([x or _OTHER for x in found[begin : end + 1]]))
         return out
 
+    def clause(self, words: list[tuple[str, float]]) -> float:
+        """Weight of a clause of labelled words: targets from its end first, then all else from its start."""
+        labels, state = [], self.behind.start
+        for label, _ in reversed(words):
+            state, label, _ = self.behind.step(state, label)
+            labels.append(label)
+        score, state = 0.0, self.machine.start
+        for label, (_, weight) in zip(reversed(labels), words, strict=True):
+            state, _, share = self.machine.step(state, label)
+            score += weight * share
+        return score
+
     def features(self, text: str | None) -> tuple[float, float]:
         clauses = self.clauses(text)
         return math.log1p(sum(clauses)), max(clauses, default=0.0)
 
 
-_THREATS = frozenset(THREATS.split())
+_OTHER = (OTHER, 0.0)
+_HARMS = frozenset(HARMS.split())
 
 
 @dataclass(frozen=True)
@@ -232,8 +274,8 @@ def fit(
     """Lexicon and weights from labelled rows.
 
     The labelled rows are a bounded sample of about `most_labelled`, by a hash of the id. Rows with a
-    NULL text or label teach nothing; an id with several labels teaches each. Listed insults and
-    threats are part of the lexicon unless the labels speak against them.
+    NULL text or label teach nothing; an id with several labels teaches each. Listed insults and words
+    of harm are always part of the lexicon, with weight 1 or what the labels give.
     """
     teach = frames.pick(labels, doc_id=id_col, toxic=toxic_col).filter("doc_id is not null and toxic is not null")
     n = teach.count()
@@ -245,7 +287,7 @@ def fit(
         # Bounded by `most_labelled`.
         docs.join(F.broadcast(teach), "doc_id").select("text", F.col("toxic").cast("int")), "toxic-sample"
     )
-    listed = dict.fromkeys([*INSULTS.split(), *THREATS.split()], 1.0)
+    listed = dict.fromkeys([*INSULTS.split(), *HARMS.split()], 1.0)
     lexicon = listed | learn_lexicon(rows, least, purity, size)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -349,10 +349,38 @@ def test_toxicity_grammar():
     assert one("nothing here") == 0 and one(None) == 0
     assert one("you are an idiot") > one("what an idiot") > one("he said: what, they said idiot") > 0
     assert one("what an idiot") > one("is not an idiot") > 0
-    assert one("i will kill you") == one("kill") and one("you, kill it") == one("kill")
+    # Targets on either side, intent before harm, intensifiers before insults.
+    assert one("i will kill you") > one("kill you") > one("kill") and one("you, kill it") == one("kill")
+    assert one("i will kill you") > one("i will kill time") > one("kill time")
+    assert one("idiot that you are") == one("you are an idiot") > one("idiot")
+    assert one("you are such an idiot") > one("you are an idiot") and one("very idiot") > one("idiot")
+    assert one("i will not kill you") < one("kill") and one("he said i will kill you") < one("kill you")
     assert scorer.clauses("idiot. vequmo idiot") == [4.0, 7.0]
 
 
+def test_toxicity_machines_are_composed():
+    """The one machine gives what the transducers give that are run one after another."""
+    rng = random.Random(12)
+    scorer = toxicity.Scorer({"x": 1.0})
+    behind, forward = toxicity.machines()
+
+    def run(machine, labels):
+        state, out, shares = machine.start, [], []
+        for label in labels:
+            state, written, share = machine.step(state, label)
+            out.append(written)
+            shares.append(share)
+        return out, shares
+
+    for _ in range(500):
+        labels = rng.choices(toxicity.READ, k=rng.randint(0, 14))
+        words = [(x, rng.random() if x in "IT" else 0.0) for x in labels]
+        read = run(behind, labels[::-1])[0][::-1]
+        for machine in forward:
+            read, shares = run(machine, read)
+        assert scorer.clause(words) == pytest.approx(sum(w * share for (_, w), share in zip(words, shares, strict=True)))
+
+
 def test_toxicity(llm):
     rng = random.Random(6)
     words = [f"w{c}{d}" for c in "abcdefghij" for d in "klmnopqrst"]
