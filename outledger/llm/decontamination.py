@@ -157,15 +157,39 @@ def decontaminate(
     )
 
 
-def clean(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+def clean(
+    df: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
+    item_text_col: str = "text", size: int = 10, patterns_per_pass: int = 200_000,
+) -> DataFrame:
     """The rows of `df` without a benchmark passage, all columns as they are.
 
-    Rows are told apart by a stored number, not by `id_col`: NULL and repeated ids are no special case.
+    Where one pass holds all windows, rows are looked at where they are and nothing is moved or stored. With
+    more windows, rows are told apart by a stored number while the passes' hits meet. NULL and empty texts,
+    NULL and repeated ids are no special case; an empty benchmark keeps every row.
     """
-    rows = frames.stored(df.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    hit = decontaminate(rows, benchmark, "_row", **options).filter("contaminated")
-    hit = frames.stored(hit.select(F.col("doc_id").alias("_row")), "contaminated").hint("merge")
-    return rows.join(hit, "_row", "left_anti").select(*df.columns)
+    found = frames.stored(windows(benchmark, item_col, item_text_col, size), "windows")
+    if found.count() <= patterns_per_pass:
+        # Bounded by `patterns_per_pass`.
+        sent = df.sparkSession.sparkContext.broadcast(
+            [(r["pattern"].split(" "), []) for r in found.select("pattern").collect()]
+        )
+
+        @F.pandas_udf("boolean")
+        def passes(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            searcher = Searcher(sent.value)
+            for batch in batches:
+                yield pd.Series([not searcher.search(words(text))[0] for text in batch], dtype=bool)
+
+        return df.filter(passes(F.col(text_col)))
+    number = "_row"
+    while number in df.columns:
+        number = f"_{number}"
+    rows = frames.stored(df.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    hit = decontaminate(
+        rows, benchmark, number, text_col, item_col, item_text_col, size, patterns_per_pass
+    ).filter("contaminated")
+    hit = frames.stored(hit.select(F.col("doc_id").alias(number)), "contaminated").hint("merge")
+    return rows.join(hit, number, "left_anti").select(*df.columns)
 
 
 def _digest(items) -> str:

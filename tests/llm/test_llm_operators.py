@@ -127,6 +127,15 @@ def test_decontamination(llm):
         got = decontamination.decontaminate(docs(llm, *rows), bench, patterns_per_pass=most).collect()
         assert sorted(repr(tuple(r)) for r in got) == expected
     assert not decontamination.decontaminate(docs(llm, *rows), bench.limit(0)).filter("contaminated").count()
+    # Whole rows, a column named as the number that many windows need.
+    named = docs(llm, *rows).withColumnRenamed("source", "_row")
+    left = sorted(repr((k, t)) for k, t in rows if not brute(t)[4])
+    for most in (1000, 5):
+        kept = decontamination.clean(named, bench, patterns_per_pass=most)
+        assert kept.columns == named.columns
+        assert sorted(repr((r.doc_id, r.text)) for r in kept.collect()) == left
+    assert decontamination.clean(named, bench.limit(0)).count() == len(rows)
+    assert decontamination.clean(named.limit(0), bench).count() == 0
 
 
 def test_near_duplicates(llm):
