@@ -26,14 +26,18 @@ def numbered(docs: DataFrame) -> DataFrame:
     return stored(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
 
 
+def sound_ids(docs: DataFrame) -> bool:
+    """Whether every row has an id of its own."""
+    return docs.groupBy("doc_id").count().filter("doc_id is null or count > 1").isEmpty()
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row, that with the smallest id, of each group of near duplicates; rows with a NULL id stay.
 
     Where ids are missing or shared, rows are told apart by a number of their own.
     """
     ship_package(spark)
-    unclear = docs.groupBy("doc_id").count().filter("doc_id is null or count > 1")
-    if unclear.isEmpty():
+    if sound_ids(docs):
         copies = near_duplicates.near_duplicates(docs).filter("not kept").select("doc_id")
         return membership.without(docs, copies, "doc_id").select(*DOCUMENTS)
     rows = numbered(docs)
@@ -53,10 +57,14 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it."""
-    rows = numbered(docs)
-    copies = mixing.mix(rows, carry=("_row",)).select("_row", F.col("copies").alias("_copies")).filter("_copies > 0")
-    repeated = rows.join(copies, "_row").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    """Every document as often as the mix takes it; rows without an id of their own go by a number."""
+    if sound_ids(docs):
+        rows, key, mixed = docs, "doc_id", mixing.mix(docs)
+    else:
+        rows, key = numbered(docs), "_row"
+        mixed = mixing.mix(rows, carry=(key,))
+    copies = mixed.select(key, F.col("copies").alias("_copies")).filter("_copies > 0")
+    repeated = rows.join(copies, key).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
     return repeated.select(*DOCUMENTS)
 
 
