@@ -86,6 +86,18 @@ def test_quality_of_little(llm):
     assert quality.score(df.limit(0), None).count() == 0
 
 
+def test_quality_query(llm, tmp_path):
+    """Labels of held-out rows are never looked at, and held-out rows are graded well."""
+    rows = graded(400, 3)
+    docs(llm, [r[:2] for r in rows] + [(900, None), (901, "")]).write.parquet(str(tmp_path / "documents.parquet"))
+    fold = {k: zlib.crc32(str(k).encode()) % 4 for k, _, _ in rows}
+    wrong = [(k, 1 - y if fold[k] == 2 else y) for k, _, y in rows]
+    llm.createDataFrame(wrong, "doc_id long, quality int").write.parquet(str(tmp_path / "labels.parquet"))
+    got = {r.doc_id: r for r in queries.op11_quality(llm, str(tmp_path)).collect()}
+    assert len(got) == 402 and all(got[k].held_out == (f == 2) for k, f in fold.items())
+    assert np.mean([got[k].predicted == y for k, _, y in rows if fold[k] == 2]) > 0.95
+
+
 # ---------------------------------------------------------------- runs
 
 
