@@ -163,24 +163,9 @@ def clean(
 ) -> DataFrame:
     """The rows of `df` without a benchmark passage, all columns as they are.
 
-    Where one pass holds all windows, rows are looked at where they are and nothing is moved or stored. With
-    more windows, rows are told apart by a stored number while the passes' hits meet. NULL and empty texts,
-    NULL and repeated ids are no special case; an empty benchmark keeps every row.
+    Rows are told apart by a stored number, not by an id. NULL and empty texts, NULL and repeated ids are no
+    special case; an empty benchmark keeps every row.
     """
-    found = frames.stored(windows(benchmark, item_col, item_text_col, size), "windows")
-    if found.count() <= patterns_per_pass:
-        # Bounded by `patterns_per_pass`.
-        sent = df.sparkSession.sparkContext.broadcast(
-            [(r["pattern"].split(" "), []) for r in found.select("pattern").collect()]
-        )
-
-        @F.pandas_udf("boolean")
-        def passes(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            searcher = Searcher(sent.value)
-            for batch in batches:
-                yield pd.Series([not searcher.search(words(text))[0] for text in batch], dtype=bool)
-
-        return df.filter(passes(F.col(text_col)))
     number = "_row"
     while number in df.columns:
         number = f"_{number}"
