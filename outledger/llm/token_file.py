@@ -31,8 +31,10 @@ from outledger.llm import frames, pretokens
 MAX_BITS = 16
 CHECKPOINT = 256
 BLOCK_SYMBOLS = 1 << 19
-#: Distinct chunks of text that a worker remembers before it forgets them all.
-REMEMBERED = 1_000_000
+#: Distinct chunks of text that a worker remembers before it forgets all but the commonest: 250 bytes each, in every worker.
+REMEMBERED = 250_000
+#: Rows of an Arrow batch whose ids are made, and held, at once.
+ROWS_TOGETHER = 1_000
 #: Chunks of several texts that are looked up together.
 TOGETHER = 50_000
 #: Bytes of a row's ids that order the rows of one doc_id.
@@ -47,7 +49,7 @@ class Encoder:
     """Ids as the tokenizers library gives them.
 
     White space only separates in this vocabulary, so a text of plain Latin script is looked up
-    chunk by chunk; each new chunk is merged by the library once. Other texts go to the library
+    chunk by chunk; a new chunk is merged by the library, and the commonest are remembered. Other texts go to the library
     whole.
     """
 
@@ -69,8 +71,36 @@ class Encoder:
         self.flat = np.empty(1 << 20, np.uint32)
         self.starts = np.empty(1 << 18, np.int64)
         self.sizes = np.empty(1 << 18, np.int64)
+        self.hits = np.zeros(1 << 18, np.int64)
         self.used = 0
 
+    def keep_common(self) -> None:
+        """Forget all but the chunks that came most often, more than once, at most half of those remembered."""
+        hits = self.hits[: len(self.number)]
+        kept = np.sort(np.argsort(-hits, kind="stable")[: REMEMBERED // 2])
+        kept = kept[hits[kept] > 1]
+        names, hits = list(self.number), hits[kept] // 2
+        starts, sizes = self.starts[kept], self.sizes[kept]
+        _, inside = frames.ragged(sizes)
+        flat = self.flat[np.repeat(starts, sizes) + inside]
+        self.forget()
+        self.number = {names[k]: n for n, k in enumerate(kept.tolist())}
+        self.add(flat, sizes, 0)
+        self.hits[: len(kept)] = hits
+
+    def add(self, ids: list[int] | np.ndarray, lengths: np.ndarray, n: int) -> None:
+        """Ids and lengths of the chunks numbered from `n`."""
+        m = len(lengths)
+        while n + m > len(self.sizes):
+            self.sizes, self.starts = np.resize(self.sizes, 2 * len(self.sizes)), np.resize(self.starts, 2 * len(self.starts))
+            self.hits = np.concatenate([self.hits, np.zeros(len(self.hits), np.int64)])
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.resize(self.flat, 2 * len(self.flat))
+        self.sizes[n : n + m] = lengths
+        self.starts[n : n + m] = self.used + np.cumsum(lengths) - lengths
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
+
     def learn(self, chunks: list[str]) -> None:
         merge, symbols, ids, sizes = self.library.model.tokenize, self.symbols, [], []
         for chunk in chunks:
@@ -80,17 +110,9 @@ class Encoder:
                     word = word.encode("utf-8").decode("latin-1").translate(symbols)
                 ids.extend([t.id for t in merge(word)])
             sizes.append(len(ids) - before)
-        n, m = len(self.number), len(chunks)
-        self.number.update(zip(chunks, range(n, n + m), strict=True))
-        while n + m > len(self.sizes):
-            self.sizes, self.starts = np.resize(self.sizes, 2 * len(self.sizes)), np.resize(self.starts, 2 * len(self.starts))
-        while self.used + len(ids) > len(self.flat):
-            self.flat = np.resize(self.flat, 2 * len(self.flat))
-        lengths = np.array(sizes, np.int64)
-        self.sizes[n : n + m] = lengths
-        self.starts[n : n + m] = self.used + np.cumsum(lengths) - lengths
-        self.flat[self.used : self.used + len(ids)] = ids
-        self.used += len(ids)
+        n = len(self.number)
+        self.number.update(zip(chunks, range(n, n + len(chunks)), strict=True))
+        self.add(ids, np.array(sizes, np.int64), n)
 
     def chunks(self, text: str) -> list[str]:
         text = text.lower()
@@ -103,12 +125,14 @@ class Encoder:
         at = np.fromiter(map(self.number.get, chunks, repeat(-1)), np.int64, len(chunks))
         unknown = np.flatnonzero(at < 0)
         if len(unknown):
-            if len(self.number) > REMEMBERED:
-                self.forget()
-                unknown = range(len(chunks))
+            if len(self.number) + len(unknown) > REMEMBERED and self.number:
+                self.keep_common()
+                at = np.fromiter(map(self.number.get, chunks, repeat(-1)), np.int64, len(chunks))
+                unknown = np.flatnonzero(at < 0)
             fresh = [chunks[k] for k in unknown]
             self.learn(list(dict.fromkeys(fresh)))
             at[unknown] = list(map(self.number.__getitem__, fresh))
+        self.hits[: len(self.number)] += np.bincount(at, minlength=len(self.number))
         sizes = self.sizes[at]
         _, inside = frames.ragged(sizes)
         return self.flat[np.repeat(self.starts[at], sizes) + inside], sizes
@@ -174,9 +198,11 @@ def token_ids(
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = encoder(vocabulary, end_id).batch([t or "" for t in batch["text"]])
-            ids = [x.astype(f"<u{width}").tobytes() for x in found]
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "ids": ids})
+            for at in range(0, len(batch), ROWS_TOGETHER):
+                rows = batch.iloc[at : at + ROWS_TOGETHER]
+                found = encoder(vocabulary, end_id).batch([t or "" for t in rows["text"]])
+                ids = [x.astype(f"<u{width}").tobytes() for x in found]
+                yield pd.DataFrame({"doc_id": rows["doc_id"].astype("Int64"), "ids": ids})
 
     rows = frames.pick(df, doc_id=id_col, text=text_col)
     return rows.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, "doc_id long, ids binary")

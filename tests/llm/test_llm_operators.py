@@ -447,3 +447,14 @@ def test_folds_and_words(llm):
     assert [r[0] for r in df.select(frames.n_words("text")).collect()] == [0, 0, 6, 3, 3, 5000]
     fold = df.select("doc_id", frames.crc_fold("doc_id", 5).alias("f")).collect()
     assert all(r.f == (0 if r.doc_id is None else zlib.crc32(str(r.doc_id).encode()) % 5) for r in fold)
+
+
+def test_encoder_remembers_the_commonest_chunks_only(monkeypatch):
+    monkeypatch.setattr(token_file, "REMEMBERED", 300)
+    encoder, library = token_file.Encoder(WORDS, 2), Tokenizer.from_file(WORDS)
+    for start in range(0, 5000, 100):
+        texts = [f"the common words of it, word{n}x {n * 7919} ." for n in range(start, start + 100)]
+        expected = [library.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+        assert [x.tolist() for x in encoder.batch(texts)] == expected
+        assert len(encoder.number) <= 300 + 210
+    assert "common" in encoder.number and "word17x" not in encoder.number
