@@ -1,6 +1,7 @@
 """Registered views give all rows of their joins."""
 
 import os
+import re
 from collections import Counter
 
 import duckdb
@@ -28,3 +29,20 @@ def test_every_pair_of_the_view_is_a_row(spark, duck, name):
     found = catalog.spark_query(name)(spark, FOLDER).select("je_line_seq_id", "vat_line_seq_id").collect()
     assert Counter(map(tuple, found)) == Counter(pairs)
     assert max(Counter(r[0] for r in pairs).values()) > 1
+
+
+def test_lines_move_once_for_invoice_and_relation_facts(spark):
+    """Rows with a line's account aren't shuffled by the relation alone, nor by the invoice alone."""
+    t = adapter.billing_tables(spark, FOLDER)
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.debug.maxToStringFields": "500"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        lines = catalog._journal(t)._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    moved = [lines[n + 1] for n, line in enumerate(lines) if re.search(
+        r"Exchange hashpartitioning\((billing_rel_id|invoice_prefix_seq_id)#\d+L, \d+\)", line)]
+    assert moved and not [line for line in moved if re.search(r"\bgl_account#", line)]
