@@ -41,6 +41,14 @@ def tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+@lru_cache(maxsize=4)
+def word_tokenizer(path: str):
+    """The vocabulary's model alone: merges words that are split and normalized already."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer(tokenizer(path).model)
+
+
 @lru_cache(maxsize=4)
 def vocabulary(path: str) -> dict:
     with open(path, encoding="utf-8") as f:

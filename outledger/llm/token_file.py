@@ -15,6 +15,7 @@ look-up per symbol.
 from __future__ import annotations
 
 import math
+import os
 import re
 import struct
 import zlib
@@ -37,6 +38,8 @@ REMEMBERED = 250_000
 ROWS_TOGETHER = 1_000
 #: Chunks of several texts that are looked up together.
 TOGETHER = 50_000
+#: New chunks that are merged together.
+LEARNED_TOGETHER = 5_000
 #: Bytes of a row's ids that order the rows of one doc_id.
 HEADED = 64
 HEAD, BLOCK = "<4sI", "<4sIQIQ"
@@ -59,7 +62,15 @@ class Encoder:
     JOINED = re.compile(r"[.,|](?:(?=\S)|(?<=[^\w\s.,|].))")
 
     def __init__(self, path: str, end_id: int):
+        # A batch of one gains nothing by threads.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.library = pretokens.tokenizer(path)
+        self.words = pretokens.word_tokenizer(path)
+        # The last token of a word has the suffix; no other has, as the pattern never leaves it inside a word.
+        model = pretokens.vocabulary(path)["model"]
+        suffix = model.get("end_of_word_suffix") or ""
+        self.ends_word = np.zeros(max(model["vocab"].values()) + 1, bool)
+        self.ends_word[[n for t, n in model["vocab"].items() if t.endswith(suffix)]] = True
         self.special = pretokens.special_pattern(path)
         self.special_ids = {t["content"]: t["id"] for t in pretokens.vocabulary(path)["added_tokens"]}
         self.symbols = dict(enumerate(pretokens.byte_symbols()))
@@ -102,17 +113,27 @@ class Encoder:
         self.used += len(ids)
 
     def learn(self, chunks: list[str]) -> None:
-        merge, symbols, ids, sizes = self.library.model.tokenize, self.symbols, [], []
-        for chunk in chunks:
-            before = len(ids)
-            for word in pretokens.WORD_END.findall(chunk):
-                if not word.isascii():
-                    word = word.encode("utf-8").decode("latin-1").translate(symbols)
-                ids.extend([t.id for t in merge(word)])
-            sizes.append(len(ids) - before)
-        n = len(self.number)
-        self.number.update(zip(chunks, range(n, n + len(chunks)), strict=True))
-        self.add(ids, np.array(sizes, np.int64), n)
+        """The ids of new chunks, by the library's own model; some thousands at once, so that no token becomes an object."""
+        symbols = self.symbols
+        for at in range(0, len(chunks), LEARNED_TOGETHER):
+            fresh, words, counts = chunks[at : at + LEARNED_TOGETHER], [], []
+            for chunk in fresh:
+                # Of the letters that a plain text has, the pattern takes all in a row as one word.
+                own = [chunk] if chunk.isalpha() else pretokens.WORD_END.findall(chunk)
+                counts.append(len(own))
+                words += own if chunk.isascii() else [
+                    w if w.isascii() else w.encode("utf-8").decode("latin-1").translate(symbols) for w in own
+                ]
+            ids = np.array(self.words.encode_batch_fast([words], is_pretokenized=True, add_special_tokens=False)[0].ids, np.int64)
+            after = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(after) != len(words):
+                # A vocabulary without an end for some word.
+                found = self.words.encode(words, is_pretokenized=True, add_special_tokens=False)
+                after = np.cumsum(np.bincount(np.array(found.word_ids, np.int64), minlength=len(words)))
+            ends = np.concatenate([[0], after])[np.cumsum(counts)]
+            n = len(self.number)
+            self.number.update(zip(fresh, range(n, n + len(fresh)), strict=True))
+            self.add(ids, np.diff(ends, prepend=0), n)
 
     def chunks(self, text: str) -> list[str]:
         text = text.lower()

@@ -13,7 +13,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from outledger.llm import (
-    components, decontamination, frames, language, licenses, mixing, near_duplicates, token_counts,
+    components, decontamination, frames, language, licenses, mixing, near_duplicates, pretokens, token_counts,
     token_file, topk, toxicity, warc,
 )
 
@@ -458,3 +458,34 @@ def test_encoder_remembers_the_commonest_chunks_only(monkeypatch):
         assert [x.tolist() for x in encoder.batch(texts)] == expected
         assert len(encoder.number) <= 300 + 210
     assert "common" in encoder.number and "word17x" not in encoder.number
+
+
+def test_new_chunks_are_merged_together():
+    """A call of the library for some thousands of new chunks, not one for each."""
+    library = Tokenizer.from_file(WORDS)
+    rng = np.random.default_rng(4)
+    texts = [" ".join("".join(rng.choice(list("abcdeöß'.|3"), 9)) for _ in range(200)) for _ in range(20)]
+    texts += ["don't x's 's't İ ſſ ªº", "naïve\u0085x y", "<|startoftext|>x <|STARTOFTEXT|> |", ""]
+    expected = [library.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+
+    class Counted:
+        calls = 0
+
+        def __init__(self, words):
+            self.words = words
+
+        def encode_batch_fast(self, *args, **options):
+            Counted.calls += 1
+            return self.words.encode_batch_fast(*args, **options)
+
+        encode = property(lambda self: self.words.encode)
+
+    for lacking in (False, True):
+        encoder = token_file.Encoder(WORDS, 2)
+        encoder.words = Counted(encoder.words)
+        if lacking:
+            encoder.ends_word[:] = False
+        assert [x.tolist() for x in encoder.batch(texts)] == expected
+    assert Counted.calls <= 20
+    letter = re.compile(f"[{pretokens.LETTER}]")
+    assert all(chr(c).isalpha() == bool(letter.fullmatch(chr(c))) for c in range(0x180))
