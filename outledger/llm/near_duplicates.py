@@ -353,9 +353,10 @@ def confirmed(pairs: DataFrame, sets: DataFrame, docs: DataFrame, size: int, per
 
 
 def crossing(heads: DataFrame, groups: DataFrame) -> DataFrame:
-    """key, doc_id, component, n, place and shared of prefix keys that occur in two groups (components) or more.
+    """key, doc_id, component, n, place, times, shared and later of prefix keys that occur in two groups (components) or more.
 
-    `shared` is the number of such keys of the document; its folded parity bits come along.
+    Keys of the same documents are one row each (see `first_keys`), `times` their number; `shared` is the
+    number of such keys of the document, `later` that from the row's place on; its folded parity bits come along.
     Frequent keys are looked at in parts, so that none is bound to one task; they pass where a part
     has two groups, or all parts by their least and greatest group together.
     """
@@ -385,59 +386,71 @@ def crossing(heads: DataFrame, groups: DataFrame) -> DataFrame:
     seen = each.withColumns({"low": F.min("component").over(of_key), "high": F.max("component").over(of_key)})
     rows = frames.stored(seen.filter("salt > 0 or low < high"), "prefix-rows")
     # Parts of a frequent key meet by their least and greatest group only.
-    spans = rows.filter("salt > 0").groupBy("key").agg(F.min("low").alias("low"), F.max("high").alias("high"))
-    names = ["key", "doc_id", "component", "n", "place"]
-    often = rows.filter("salt > 0").join(spans.filter("low < high").select("key"), "key", "left_semi").select(*names)
-    out = frames.stored(_counted(rows.filter("salt = 0").select(*names).union(often), heads), "crossing")
-    frames.discard(rows)
+    kept = frames.stored(first_keys(rows), "first-keys")
+    met = rows.select("key", "doc_id", "component", "n", "place").join(kept, "key")
+    out = frames.stored(_counted(met, heads), "crossing")
+    frames.discard(rows, kept)
     return out
 
 
+def first_keys(rows: DataFrame) -> DataFrame:
+    """key and times: of all keys that the same documents share, the first in the order of the prefixes, and their number.
+
+    A passage that two documents share gives them hundreds of keys, which would all find the same pair. Only keys of
+    two groups count. Documents of a key are told by two 64-bit hashes, their number and the ends of their ids;
+    nothing is gathered by key but these numbers.
+    """
+    of_key = rows.groupBy("key").agg(
+        F.count("*").alias("docs"), F.max("doc_id").alias("last"), F.min(F.struct("doc_id", "place")).alias("at"),
+        F.bit_xor(F.xxhash64("doc_id")).alias("hash"), F.bit_xor(F.xxhash64("doc_id", F.lit(1))).alias("other_hash"),
+        F.min("low").alias("low"), F.max("high").alias("high"),
+    ).filter("low < high")
+    # Places in one document follow the common order.
+    same = of_key.groupBy("docs", "at.doc_id", "last", "hash", "other_hash").agg(
+        F.min(F.struct("at.place", "key")).alias("first"), F.count("*").cast("int").alias("times")
+    )
+    return same.select("first.key", "times")
+
+
 def _counted(rows: DataFrame, heads: DataFrame) -> DataFrame:
     # Both sides meet by document, where the rows are then counted.
     with_bits = rows.join(heads.select("doc_id", *WORDS).hint("merge"), "doc_id")
-    return with_bits.withColumn("shared", F.count("*").over(Window.partitionBy("doc_id")).cast("int"))
+    of_doc = Window.partitionBy("doc_id")
+    # Rows of one place count for each other.
+    later = of_doc.orderBy(F.desc("place")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    return with_bits.withColumns({
+        "shared": F.sum("times").over(of_doc).cast("int"), "later": F.sum("times").over(later).cast("int"),
+    })
 
 
 def across_groups(rows: DataFrame, others: DataFrame, percent: int, whole: bool) -> DataFrame:
     """Distinct pairs a < b of a key, of two groups, that can have enough in common.
 
-    Shingles before the shared one can only meet shingles before it, and likewise behind it. Of two
+    A pair is looked for at the first key it shares: what either set has before it isn't in the other. Of two
     sets, the keys of the prefix that ends first are in the other set only where they are in its prefix: so
-    the keys that set shares with no other group, and those it doesn't share with this partner, are
-    lacking. Which of the two ends first isn't looked at; the weaker bound counts. Parity bits bound what
-    is in one set only. `whole` says that
-    `others` has all rows of the keys, so that the keys that a pair shares can be counted.
+    the keys from there on that set shares with no other group are lacking. Which of the two ends first isn't
+    looked at; the weaker bound counts. Parity bits bound what is in one set only. A linked pair meets all bounds at
+    its first key. `whole` says that `others` has all rows of the keys; a pair is then met from its lower id alone.
     """
     n = F.col("n").cast("long")
     length = F.greatest(F.lit(0), F.least(n, n - F.ceil(n * percent / 100) + 1))
-    sized = lambda df: df.withColumns({"rest": n - length, "most": n - F.greatest(F.lit(0), length - F.col("shared"))})
-    names = ("doc_id", "component", "n", "place", "rest", "most", *WORDS)
+    sized = lambda df: df.withColumns({"ahead": n - F.col("place"), "most": n - length + F.col("later")})
+    names = ("doc_id", "component", "n", "ahead", "most", *WORDS)
     own = sized(rows).select("key", *names)
     other = sized(others).select("key", *[F.col(c).alias(f"_{c}") for c in names])
-    between = F.least("place", "_place") + F.least(F.col("n") - F.col("place"), F.col("_n") - F.col("_place"))
     total = n + F.col("_n")
-    reach = F.least(between.cast("long"), F.greatest("most", "_most"))
+    reach = F.least("ahead", "_ahead", F.greatest("most", "_most"))
     differ = sum((F.bit_count(F.col(w).bitwiseXOR(F.col(f"_{w}"))) for w in WORDS), F.lit(0)).cast("long")
-    pairs = own.join(other, "key").filter(
-        (F.col("component") != F.col("_component")) & (reach * (100 + percent) >= total * percent)
-        & (differ * (100 + percent) <= total * (100 - percent))
-    ).select(
-        F.least("doc_id", "_doc_id").alias("a"), F.greatest("doc_id", "_doc_id").alias("b"), "key",
-        total.alias("total"), F.greatest("rest", "_rest").alias("rest"),
-    )
-    if not whole:
-        return pairs.select("a", "b").distinct()
-    # Each shared key comes twice, once from either side.
-    counted = pairs.groupBy("a", "b").agg(
-        F.ceil(F.count("*") / 2).alias("n_shared"), F.max("total").alias("total"), F.max("rest").alias("rest")
-    )
-    return counted.filter((F.col("rest") + F.col("n_shared")) * (100 + percent) >= F.col("total") * percent).select("a", "b")
+    met = (F.col("component") != F.col("_component")) & (reach * (100 + percent) >= total * percent)
+    if whole:
+        met = met & (F.col("doc_id") < F.col("_doc_id"))
+    pairs = own.join(other, "key").filter(met & (differ * (100 + percent) <= total * (100 - percent)))
+    return pairs.select(F.least("doc_id", "_doc_id").alias("a"), F.greatest("doc_id", "_doc_id").alias("b")).distinct()
 
 
 def centres(rows: DataFrame) -> DataFrame:
     """One row of each key: of the document that shares the most keys."""
-    best = F.max(F.struct("shared", "doc_id", "component", "n", "place", *WORDS)).alias("best")
+    best = F.max(F.struct("shared", "doc_id", "component", "n", "place", "later", *WORDS)).alias("best")
     return rows.groupBy("key").agg(best).select("key", "best.*")
 
 
@@ -469,7 +482,7 @@ def completed(groups: DataFrame, heads: DataFrame, docs: DataFrame, size: int, p
         if not links.isEmpty():
             groups = merged(groups, links)
             if step == "centres":
-                renewed = frames.stored(rows.drop("component", "shared", *WORDS).join(groups, "doc_id"), "crossing")
+                renewed = frames.stored(rows.drop("component", "shared", "later", *WORDS).join(groups, "doc_id"), "crossing")
                 spans = renewed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
                 still = spans.filter("low < high").select("key")
                 frames.discard(rows)
