@@ -43,10 +43,12 @@ def tokenizer(path: str):
 
 @lru_cache(maxsize=4)
 def word_tokenizer(path: str):
-    """The vocabulary's model alone: merges words that are split and normalized already."""
-    from tokenizers import Tokenizer
+    """The vocabulary's model alone: merges words that are normalized already and stand between the stand-ins of a blank."""
+    from tokenizers import Tokenizer, pre_tokenizers
 
-    return Tokenizer(tokenizer(path).model)
+    found = Tokenizer(tokenizer(path).model)
+    found.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(byte_symbols()[0x20])
+    return found
 
 
 @lru_cache(maxsize=4)

@@ -21,10 +21,12 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import repeat
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from outledger.llm import frames, pretokens
@@ -32,12 +34,12 @@ from outledger.llm import frames, pretokens
 MAX_BITS = 16
 CHECKPOINT = 256
 BLOCK_SYMBOLS = 1 << 19
-#: Distinct chunks of text that a worker remembers before it forgets all but the commonest: 250 bytes each, in every worker.
+#: Distinct chunks of text that a worker remembers before it forgets all but the commonest.
 REMEMBERED = 250_000
-#: Rows of an Arrow batch whose ids are made, and held, at once.
-ROWS_TOGETHER = 1_000
-#: Chunks of several texts that are looked up together.
-TOGETHER = 50_000
+#: Rows of an Arrow batch whose ids are made, and held, at once; and whose ids are counted at once.
+ROWS_TOGETHER, COUNTED_TOGETHER = 2_000, 500
+#: Characters of several texts that are looked up together.
+TOGETHER = 8_000_000
 #: New chunks that are merged together.
 LEARNED_TOGETHER = 5_000
 #: Bytes of a row's ids that order the rows of one doc_id.
@@ -51,9 +53,9 @@ HEAD, BLOCK = "<4sI", "<4sIQIQ"
 class Encoder:
     """Ids as the tokenizers library gives them.
 
-    White space only separates in this vocabulary, so a text of plain Latin script is looked up
-    chunk by chunk; a new chunk is merged by the library, and the commonest are remembered. Other texts go to the library
-    whole.
+    White space only separates in this vocabulary, so texts of plain Latin script are looked up
+    by their distinct chunks; a new chunk is merged by the library, and the commonest are remembered. Other texts go to the
+    library whole. Chunks stay in Arrow arrays; only new ones become strings.
     """
 
     #: Other scripts, and control characters: str.split() takes some of these for white space.
@@ -73,29 +75,35 @@ class Encoder:
         self.ends_word[[n for t, n in model["vocab"].items() if t.endswith(suffix)]] = True
         self.special = pretokens.special_pattern(path)
         self.special_ids = {t["content"]: t["id"] for t in pretokens.vocabulary(path)["added_tokens"]}
-        self.symbols = dict(enumerate(pretokens.byte_symbols()))
+        #: Code point of each byte's stand-in; a blank's own stands between words.
+        self.symbols = np.array([ord(c) for c in pretokens.byte_symbols()], "<u4")
         self.end_id = end_id
         self.forget()
 
     def forget(self) -> None:
-        self.number: dict[str, int] = {}
+        self.names = pa.array([], pa.large_string())
         self.flat = np.empty(1 << 20, np.uint32)
         self.starts = np.empty(1 << 18, np.int64)
         self.sizes = np.empty(1 << 18, np.int64)
         self.hits = np.zeros(1 << 18, np.int64)
         self.used = 0
 
+    @property
+    def number(self) -> dict[str, int]:
+        """The number of each chunk that is remembered."""
+        return dict(zip(self.names.to_pylist(), range(len(self.names)), strict=True))
+
     def keep_common(self) -> None:
         """Forget all but the chunks that came most often, more than once, at most half of those remembered."""
-        hits = self.hits[: len(self.number)]
+        hits = self.hits[: len(self.names)]
         kept = np.sort(np.argsort(-hits, kind="stable")[: REMEMBERED // 2])
         kept = kept[hits[kept] > 1]
-        names, hits = list(self.number), hits[kept] // 2
+        names, hits = self.names.take(pa.array(kept)), hits[kept] // 2
         starts, sizes = self.starts[kept], self.sizes[kept]
         _, inside = frames.ragged(sizes)
         flat = self.flat[np.repeat(starts, sizes) + inside]
         self.forget()
-        self.number = {names[k]: n for n, k in enumerate(kept.tolist())}
+        self.names = names
         self.add(flat, sizes, 0)
         self.hits[: len(kept)] = hits
 
@@ -112,91 +120,109 @@ class Encoder:
         self.flat[self.used : self.used + len(ids)] = ids
         self.used += len(ids)
 
-    def learn(self, chunks: list[str]) -> None:
-        """The ids of new chunks, by the library's own model; some thousands at once, so that no token becomes an object."""
-        symbols = self.symbols
-        for at in range(0, len(chunks), LEARNED_TOGETHER):
-            fresh, words, counts = chunks[at : at + LEARNED_TOGETHER], [], []
-            for chunk in fresh:
-                # Of the letters that a plain text has, the pattern takes all in a row as one word.
-                own = [chunk] if chunk.isalpha() else pretokens.WORD_END.findall(chunk)
-                counts.append(len(own))
-                words += own if chunk.isascii() else [
-                    w if w.isascii() else w.encode("utf-8").decode("latin-1").translate(symbols) for w in own
-                ]
-            ids = np.array(self.words.encode_batch_fast([words], is_pretokenized=True, add_special_tokens=False)[0].ids, np.int64)
-            after = np.flatnonzero(self.ends_word[ids]) + 1
-            if len(after) != len(words):
+    def learn(self, chunks: pa.Array) -> None:
+        """The ids of new chunks: those of letters are words, others are put together from their words."""
+        # Of the letters that a plain text has, the pattern takes all in a row as one word.
+        letters = pc.utf8_is_alpha(chunks)
+        self.learn_words(chunks.filter(letters))
+        others = chunks.filter(pc.invert(letters))
+        own = list(map(pretokens.WORD_END.findall, others.to_numpy(zero_copy_only=False)))
+        counts = np.fromiter(map(len, own), np.int64, len(own))
+        coded = pa.array(list(chain.from_iterable(own)), pa.large_string()).dictionary_encode()
+        words, place = coded.dictionary, coded.indices.to_numpy()
+        at, unknown = self.numbers(words)
+        at[unknown] = len(self.names) + np.arange(len(unknown))
+        self.learn_words(words.take(pa.array(unknown)))
+        self.hits[at] += np.bincount(place, minlength=len(at))
+        # A chunk of one word is that word.
+        several = counts != 1
+        ids, ends = self.gathered(at, place[np.repeat(several, counts)])
+        self.add(ids, np.diff(ends[np.cumsum(counts[several])], prepend=0), len(self.names))
+        self.names = pa.concat_arrays([self.names, others.filter(pa.array(several))])
+
+    def learn_words(self, words: pa.Array) -> None:
+        """The ids of new words, by the library's own model; some thousands at once, so that no token becomes an object."""
+        for at in range(0, len(words), LEARNED_TOGETHER):
+            fresh = words.slice(at, LEARNED_TOGETHER)
+            joined = " ".join(fresh.to_numpy(zero_copy_only=False)).encode("utf-8")
+            text = self.symbols[np.frombuffer(joined, np.uint8)].tobytes().decode("utf-32-le")
+            ids = np.array(self.words.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64)
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) != len(fresh):
                 # A vocabulary without an end for some word.
-                found = self.words.encode(words, is_pretokenized=True, add_special_tokens=False)
-                after = np.cumsum(np.bincount(np.array(found.word_ids, np.int64), minlength=len(words)))
-            ends = np.concatenate([[0], after])[np.cumsum(counts)]
-            n = len(self.number)
-            self.number.update(zip(fresh, range(n, n + len(fresh)), strict=True))
-            self.add(ids, np.diff(ends, prepend=0), n)
-
-    def chunks(self, text: str) -> list[str]:
+                found = self.words.encode(text.split(chr(self.symbols[0x20])), is_pretokenized=True, add_special_tokens=False)
+                ends = np.cumsum(np.bincount(np.array(found.word_ids, np.int64), minlength=len(fresh)))
+            self.add(ids, np.diff(ends, prepend=0), len(self.names) + at)
+        self.names = pa.concat_arrays([self.names, words])
+
+    def gathered(self, at: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the chunks numbered `at[place]` in a row, and where each chunk ends in them, from 0."""
+        sizes = self.sizes[at][place]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        return self.flat[np.repeat(self.starts[at][place] - ends[:-1], sizes) + np.arange(ends[-1])], ends
+
+    def padded(self, text: str) -> str:
+        """A plain text whose chunks stand between white space."""
         text = text.lower()
         if self.JOINED.search(text) is None:
             text = text.replace(".", " . ").replace(",", " , ").replace("|", " | ")
-        return text.split()
-
-    def looked_up(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all chunks in a row, and how many each has; new chunks are learned once."""
-        at = np.fromiter(map(self.number.get, chunks, repeat(-1)), np.int64, len(chunks))
-        unknown = np.flatnonzero(at < 0)
+        return text
+
+    def numbers(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of distinct chunks, and the places of those that have none yet."""
+        at = pc.fill_null(pc.index_in(chunks, value_set=self.names), -1).to_numpy().astype(np.int64)
+        return at, np.flatnonzero(at < 0)
+
+    def looked_up(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of padded texts; new chunks are learned once. A text's ends may give an empty chunk, which has no ids."""
+        split = pc.utf8_split_whitespace(pa.array(texts, pa.large_string()))
+        coded = split.flatten().dictionary_encode()
+        chunks, place = coded.dictionary, coded.indices.to_numpy()
+        at, unknown = self.numbers(chunks)
         if len(unknown):
-            if len(self.number) + len(unknown) > REMEMBERED and self.number:
+            if len(self.names) + len(unknown) > REMEMBERED and len(self.names):
                 self.keep_common()
-                at = np.fromiter(map(self.number.get, chunks, repeat(-1)), np.int64, len(chunks))
-                unknown = np.flatnonzero(at < 0)
-            fresh = [chunks[k] for k in unknown]
-            self.learn(list(dict.fromkeys(fresh)))
-            at[unknown] = list(map(self.number.__getitem__, fresh))
-        self.hits[: len(self.number)] += np.bincount(at, minlength=len(self.number))
-        sizes = self.sizes[at]
-        _, inside = frames.ragged(sizes)
-        return self.flat[np.repeat(self.starts[at], sizes) + inside], sizes
-
-    def part(self, text: str) -> np.ndarray:
-        if self.NOT_PLAIN.search(text):
-            return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
-        return self.looked_up(self.chunks(text))[0]
+                at, unknown = self.numbers(chunks)
+            self.learn(chunks.take(pa.array(unknown)))
+            at, _ = self.numbers(chunks)
+        self.hits[at] += np.bincount(place, minlength=len(at))
+        ids, ends = self.gathered(at, place)
+        cuts = ends[split.offsets.to_numpy()].tolist()
+        return [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
     def ids(self, text: str) -> np.ndarray:
-        parts, last = [], 0
-        for found in self.special.finditer(text):
-            parts += [self.part(text[last : found.start()]), [self.special_ids[found[0]]]]
-            last = found.end()
-        parts += [self.part(text[last:]), [self.end_id]]
-        return np.concatenate([np.asarray(p, np.uint32) for p in parts])
+        return self.batch([text])[0]
 
     def batch(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of several texts: plain ones are looked up together."""
-        out: list = [None] * len(texts)
-        begun, chunks, counts = [], [], []
+        """The ids of several texts: their plain parts are looked up together."""
+        out: list[list] = [[] for _ in texts]
+        waiting, plain, held = [], [], 0
 
         def look_up() -> None:
-            ids, sizes = self.looked_up(chunks)
-            ends = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum(counts)].tolist() if counts else []
-            last = 0
-            for k, end in zip(begun, ends, strict=True):
-                out[k] = np.append(ids[last:end], np.uint32(self.end_id))
-                last = end
-            begun.clear(), chunks.clear(), counts.clear()
+            for (k, n), ids in zip(waiting, self.looked_up(plain) if plain else [], strict=True):
+                out[k][n] = ids
+            waiting.clear(), plain.clear()
 
         for k, text in enumerate(texts):
-            if self.NOT_PLAIN.search(text) or self.special.search(text):
-                out[k] = self.ids(text)
-                continue
-            own = self.chunks(text)
-            begun.append(k)
-            counts.append(len(own))
-            chunks += own
-            if len(chunks) > TOGETHER:
+            parts, last = [], 0
+            for found in self.special.finditer(text):
+                parts += [text[last : found.start()], self.special_ids[found[0]]]
+                last = found.end()
+            for part in [*parts, text[last:], self.end_id]:
+                if isinstance(part, int):
+                    out[k].append(np.array([part], np.uint32))
+                elif self.NOT_PLAIN.search(part):
+                    out[k].append(np.array(self.library.encode(part, add_special_tokens=False).ids, np.uint32))
+                else:
+                    waiting.append((k, len(out[k])))
+                    out[k].append(None)
+                    plain.append(self.padded(part))
+                    held += len(part)
+            if held > TOGETHER:
                 look_up()
+                held = 0
         look_up()
-        return out
+        return [np.concatenate(parts) for parts in out]
 
 
 @lru_cache(maxsize=2)
@@ -336,8 +362,8 @@ def write_tokens(
     def tally(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for raw in batch["ids"]:
-                n = np.bincount(np.frombuffer(raw, f"<u{width}"))
+            for at in range(0, len(batch), COUNTED_TOGETHER):
+                n = np.bincount(np.frombuffer(b"".join(batch["ids"].iloc[at : at + COUNTED_TOGETHER]), f"<u{width}"))
                 if len(n) > len(total):
                     total = np.pad(total, (0, len(n) - len(total)))
                 total[: len(n)] += n

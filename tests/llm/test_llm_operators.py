@@ -489,3 +489,29 @@ def test_new_chunks_are_merged_together():
     assert Counted.calls <= 20
     letter = re.compile(f"[{pretokens.LETTER}]")
     assert all(chr(c).isalpha() == bool(letter.fullmatch(chr(c))) for c in range(0x180))
+
+
+def test_words_are_merged_once_whatever_signs_follow():
+    """A known word with other signs behind it is put together from what is known."""
+    library = Tokenizer.from_file(WORDS)
+    stems = ["straße", "thingy", "naïvely", "qwrtz", "don't"]
+    texts = [" ".join(f"{stem}{sign * n}" for stem in stems for sign in "&#$!'") + " " * n for n in range(9)] + ["  ", " x\u0085 "]
+
+    class Counted:
+        given = 0
+
+        def __init__(self, words):
+            self.words = words
+
+        def encode_batch_fast(self, batch, **options):
+            Counted.given += len(batch[0].split("Ġ") if isinstance(batch[0], str) else batch[0])
+            return self.words.encode_batch_fast(batch, **options)
+
+        encode = property(lambda self: self.words.encode)
+
+    encoder = token_file.Encoder(WORDS, 2)
+    encoder.words = Counted(encoder.words)
+    for _ in range(2):
+        assert [x.tolist() for x in encoder.batch(texts)] == [library.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+    # Five stems in six or seven words, signs of up to eight in a row.
+    assert Counted.given <= 60
