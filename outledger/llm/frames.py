@@ -11,7 +11,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from outledger.runtime import materialize
+from outledger.runtime import bucketed, materialize
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -39,6 +39,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, name)
 
 
+def stored_by(df: DataFrame, name: str, key: str) -> tuple[DataFrame, DataFrame]:
+    """Stored in buckets by `key` and read back twice: as plain files, and as buckets, which don't move to meet another frame.
+
+    Buckets are for joins of a row with a row; of the plain files Spark may split what is skewed.
+    """
+    placed = bucketed(df, name, [key])
+    folders = {name.rpartition("/")[0] for name in placed.inputFiles()}
+    return df.sparkSession.read.schema(placed.schema).parquet(*folders) if folders else placed, placed
+
+
 def discard(*frames: DataFrame) -> None:
     """Delete the files of stored frames that nothing reads any more."""
     for df in frames:

@@ -352,7 +352,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, docs: DataFrame, size: int, per
     return links
 
 
-def crossing(heads: DataFrame, groups: DataFrame) -> DataFrame:
+def crossing(heads: DataFrame, groups: DataFrame, placed: DataFrame | None = None) -> DataFrame:
     """key, doc_id, component, n, place, times, shared and later of prefix keys that occur in two groups (components) or more.
 
     Keys of the same documents are one row each (see `first_keys`), `times` their number; `shared` is the
@@ -378,8 +378,8 @@ def crossing(heads: DataFrame, groups: DataFrame) -> DataFrame:
                     "n": np.repeat(part["n_shingles"].to_numpy(np.int32), lengths), "place": place.astype(np.int32),
                 })
 
-    placed = heads.select("doc_id", "n_shingles", "keys", "rare").join(groups, "doc_id")
-    each = placed.select("doc_id", F.col("n_shingles").cast("int"), "keys", "rare", "component").mapInPandas(
+    grouped = (heads if placed is None else placed).select("doc_id", "n_shingles", "keys", "rare").join(groups, "doc_id")
+    each = grouped.select("doc_id", F.col("n_shingles").cast("int"), "keys", "rare", "component").mapInPandas(
         run, "key long, salt int, doc_id long, component long, n int, place int"
     )
     of_key = Window.partitionBy("key", "salt")
@@ -465,13 +465,16 @@ def merged(groups: DataFrame, links: DataFrame) -> DataFrame:
     return frames.stored(joined.select("doc_id", F.coalesce("lower", "component").alias("component")), "groups")
 
 
-def completed(groups: DataFrame, heads: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+def completed(
+    groups: DataFrame, heads: DataFrame, docs: DataFrame, size: int, percent: int, placed: DataFrame | None = None
+) -> DataFrame:
     """The groups after every link between two of them.
 
     First each document is compared with the centres of its keys, which brings most members of a
-    dense group together; then all pairs that still lie in two groups and share a key.
+    dense group together; then all pairs that still lie in two groups and share a key. `placed` has the rows
+    of `heads` in buckets by document.
     """
-    rows = crossing(heads, groups)
+    rows = crossing(heads, groups, placed)
     for step in ("centres", "all"):
         if rows.isEmpty():
             break
@@ -521,12 +524,15 @@ def near_duplicates(
         .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id")),
         "class-members",
     )
-    # The first document of each class stands for it.
-    later = rows.select("doc_id", "digest").join(several, "digest").filter("doc_id <> class_id").select("doc_id", "digest")
-    heads = frames.stored(
-        rows.filter("digest is not null and doc_id is not null").join(later, ["doc_id", "digest"], "left_anti"), "heads"
+    # The first document of each class stands for it. Few rows may be others: only these meet the list of others.
+    later = frames.stored(
+        rows.select("doc_id", "digest").join(several, "digest").filter("doc_id <> class_id").select("doc_id", "digest"), "later"
     )
-    frames.discard(rows, classes)
+    seen = rows.filter("digest is not null and doc_id is not null").withColumn("_maybe", maybe_in(later, "doc_id"))
+    firsts = seen.filter("_maybe").join(later, ["doc_id", "digest"], "left_anti")
+    # Signatures and keys, most of the bytes, lie by document and stay there when its group is added.
+    heads, placed = frames.stored_by(seen.filter("not _maybe").unionByName(firsts).drop("_maybe"), "heads", "doc_id")
+    frames.discard(rows, classes, later)
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = heads.select("doc_id", "signature", F.col("doc_id").alias("component"))
     pairs = candidates(rows, partitions, 0, FIRST_TREES)
@@ -538,11 +544,11 @@ def near_duplicates(
         "groups",
     )
     frames.discard(pairs, links)
-    pairs = candidates(heads.select("doc_id", "signature").join(groups, "doc_id"), partitions, FIRST_TREES)
+    pairs = candidates(placed.select("doc_id", "signature").join(groups, "doc_id"), partitions, FIRST_TREES)
     links = confirmed(pairs, heads, docs, size, percent)
     if not links.isEmpty():
         groups = merged(groups, links)
-    groups = completed(groups, heads, docs, size, percent)
+    groups = completed(groups, heads, docs, size, percent, placed)
     frames.discard(heads, pairs, links)
     labels = groups.filter("doc_id <> component").withColumnRenamed("doc_id", "node")
     return (
